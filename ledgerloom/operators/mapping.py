@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import ParseOptions, Tenant
 from ..functions.text import normalize, normalize_py
+from ..sources.delimited import same_path
 from .lookup import salted_lookup
 
 _SEP = "\u0001"
@@ -78,9 +79,14 @@ def _actual_header(norm: Column) -> Column:
 def file_layouts(files: DataFrame, headers: DataFrame, config: DataFrame) -> DataFrame:
     """One row per file: which cell holds which field, and which headers are missing or unused.
 
-    ``files`` has (batch_id, tenant_id, feed), ``headers`` (batch_id, headers array).
+    ``files`` has (batch_id, tenant_id, feed, path), ``headers`` (file_path, path, headers array).
     """
-    per_file = files.join(headers, "batch_id").join(config, ["tenant_id", "feed"])
+    heads = headers.select("file_path", F.col("path").alias("header_path"), "headers")
+    per_file = (
+        files.select("batch_id", "tenant_id", "feed", "path", "source_file", "loaded_at")
+        .join(heads, same_path(files["path"], heads["header_path"]))
+        .join(config, ["tenant_id", "feed"])
+    )
     pairs = F.arrays_zip(
         F.col("column_headers").alias("header"),
         F.col("column_fields").alias("field"),
@@ -105,7 +111,10 @@ def file_layouts(files: DataFrame, headers: DataFrame, config: DataFrame) -> Dat
     )
     used_headers = F.transform("used", lambda p: p["actual"])
     return found.select(
+        "file_path",
         "batch_id",
+        "source_file",
+        "loaded_at",
         "tenant_id",
         "feed",
         "contract",
@@ -133,11 +142,11 @@ def _cell(cells: str, at: Column) -> Column:
 def map_columns(records: DataFrame, layouts: DataFrame) -> DataFrame:
     """Data rows as ``raw`` (field -> text), values translated.
 
-    ``records`` has (batch_id, source_row, cells) and, for typed cells, ``kinds``. Values without
+    ``records`` has (file_path, source_row, cells) and, for typed cells, ``kinds``. Values without
     a translation pass through untouched so that a report can quote them.
     """
     typed = "kinds" in records.columns
-    rows = salted_lookup(records, layouts, ["batch_id"], [F.col("source_row")], "inner")
+    rows = salted_lookup(records, layouts, ["file_path"], [F.col("source_row")], "inner")
     raw = F.map_from_arrays("fields", F.transform("positions", lambda at: _cell("cells", at)))
     rows = rows.withColumn("raw", raw)
     if typed:
@@ -155,7 +164,7 @@ def map_columns(records: DataFrame, layouts: DataFrame) -> DataFrame:
     translated = F.when(
         F.size("value_fields") > 0, F.transform_values("raw", translate)
     ).otherwise(F.col("raw"))
-    keep = ["batch_id", "tenant_id", "feed", "contract", "source_row", "timezone", "profile"]
+    keep = ["batch_id", "source_file", "loaded_at", "tenant_id", "feed", "contract", "source_row", "timezone", "profile"]
     out = rows.select(
         *keep, translated.alias("raw"), F.col("raw").alias("raw_source"), "labels", "missing_columns",
         *(["raw_kinds"] if typed else []),

@@ -51,7 +51,9 @@ def read_cells(cells: DataFrame, fmt: SourceFormat) -> tuple[DataFrame, DataFram
         F.transform(slots, lambda i: F.element_at("k", i)).alias("kinds"),
     )
     headers = by_row.where(F.col("source_row") == fmt.header_row).select(
-        "file_path", F.transform("cells", lambda c: F.coalesce(strip(c), F.lit(""))).alias("headers")
+        "file_path",
+        F.col("file_path").alias("path"),
+        F.transform("cells", lambda c: F.coalesce(strip(c), F.lit(""))).alias("headers"),
     )
     sized = sheets.select("file_path").join(no_sheet, "file_path", "left_anti")
     no_header = sized.join(headers, "file_path", "left_anti").select(
@@ -60,4 +62,5 @@ def read_cells(cells: DataFrame, fmt: SourceFormat) -> tuple[DataFrame, DataFram
     records = by_row.where(
         (F.col("source_row") > fmt.header_row) & F.exists("cells", lambda c: ~is_blank(c))
     ).join(headers.select("file_path"), "file_path", "left_semi")
-    return records, headers, no_sheet.unionByName(no_header)
+    errors = no_sheet.unionByName(no_header).withColumnRenamed("file_path", "path")
+    return records, headers, errors
