@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -46,7 +46,22 @@ _MARK = "\u0001"
 @dataclass(frozen=True)
 class Coerced:
     value: Column
-    error: Column  # null when the cell was readable or blank
+    message: Column  # what to say when a cell that is not blank has no value
+    text: Column
+
+    @property
+    def error(self) -> Column:
+        """Null when the cell was readable or blank."""
+        return unreadable(self.text, self.value, self.message)
+
+
+def unreadable(text: Column, value: Column, message: Column) -> Column:
+    return F.when(~is_blank(text) & value.isNull(), message)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate an expression once and use it several times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def coerce(
@@ -57,26 +72,25 @@ def coerce(
     kind: Column | None = None,
 ) -> Coerced:
     """Coerce one cell column. ``kind`` is null or absent for text cells."""
-    blank = is_blank(text)
-    if type_ == "string":
-        return Coerced(F.when(~blank, _string(text, kind)), F.lit(None).cast("string"))
-    zone = F.lit(zone) if isinstance(zone, str) else zone
-    if type_ == "integer":
-        value = _integer(text, opts, kind)
-    elif type_ == "decimal":
-        value = _decimal(text, opts, kind)
-    elif type_ == "date":
-        value = _date(text, opts, kind)
-    elif type_ == "timestamp":
-        value = _timestamp(text, opts, zone, kind)
-    elif type_ == "boolean":
-        value = _boolean(text)
-    else:
+    if type_ not in SPARK_TYPES:
         raise ContractError(f"unknown type {type_!r}")
+    zone = F.lit(zone) if isinstance(zone, str) else zone
+    rules = {
+        "string": lambda t: _string(t, kind),
+        "integer": lambda t: _integer(t, opts, kind),
+        "decimal": lambda t: _decimal(t, opts, kind),
+        "date": lambda t: _date(t, opts, kind),
+        "timestamp": lambda t: _timestamp(t, opts, zone, kind),
+        "boolean": _boolean,
+    }
+    # Blank cells are empty after stripping, and no rule but the one for text reads those.
+    value = let(strip(text), lambda t: F.when(t != "", rules[type_](t)))
+    if type_ == "string":
+        return Coerced(value, F.lit(None).cast("string"), text)
     message = F.lit(expected(type_, opts))
     if kind is not None and type_ in ("date", "timestamp"):
         message = F.when(kind.isin(*NUMBER_KINDS), EXPECTED["date"]).otherwise(message)
-    return Coerced(F.when(~blank, value), F.when(~blank & value.isNull(), message))
+    return Coerced(value, message, text)
 
 
 def stored(value: Column, type_: str) -> Column:
@@ -113,7 +127,7 @@ def _integer(text: Column, opts: ParseOptions, kind: Column | None) -> Column:
     def whole(t: Column) -> Column:
         return F.when(t.rlike(r"\A-?\d+(?:\.0+)?\z"), t.try_cast(WIDE_INTEGER))
 
-    value = whole(_plain_number(strip(text), opts))
+    value = let(_plain_number(text, opts), whole)
     if kind is None:
         return value
     number = text.try_cast(WIDE_DECIMAL)
@@ -125,15 +139,18 @@ def _integer(text: Column, opts: ParseOptions, kind: Column | None) -> Column:
 
 
 def _decimal(text: Column, opts: ParseOptions, kind: Column | None) -> Column:
+    literal = r"\A[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?\z"
+
     def finite(t: Column) -> Column:
-        literal = r"\A[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?\z"
         return F.when(t.rlike(literal), t.try_cast(WIDE_DECIMAL))
 
-    amount = strip(F.regexp_replace(text, CURRENCY, ""))
-    bracketed = amount.startswith("(") & amount.endswith(")")
-    bare = strip(F.regexp_replace(amount, r"\A[()]+|[()]+\z", ""))
-    number = finite(F.translate(_plain_number(bare, opts), "_", ""))
-    value = F.when(bracketed, -number).otherwise(number)
+    def signed(amount: Column) -> Column:
+        bare = strip(F.regexp_replace(amount, r"\A[()]+|[()]+\z", ""))
+        number = let(F.translate(_plain_number(bare, opts), "_", ""), finite)
+        sign = F.when(amount.startswith("(") & amount.endswith(")"), -1).otherwise(1)
+        return (number * sign).cast(WIDE_DECIMAL)
+
+    value = let(strip(F.regexp_replace(text, CURRENCY, "")), signed)
     if kind is None:
         return value
     return (
@@ -144,8 +161,12 @@ def _decimal(text: Column, opts: ParseOptions, kind: Column | None) -> Column:
 
 
 def _boolean(text: Column) -> Column:
-    word = F.lower(strip(text))
-    return F.when(word.isin(*TRUE_VALUES), F.lit(True)).when(word.isin(*FALSE_VALUES), F.lit(False))
+    return let(
+        F.lower(text),
+        lambda word: F.when(word.isin(*TRUE_VALUES), F.lit(True)).when(
+            word.isin(*FALSE_VALUES), F.lit(False)
+        ),
+    )
 
 
 def _serial(text: Column) -> Column:
@@ -156,12 +177,12 @@ def _serial(text: Column) -> Column:
     return F.when(days.between(SERIAL_MIN, SERIAL_MAX), moment)
 
 
-def _parts(text: Column, pattern: str, groups: int) -> Column:
-    """Capture groups of a full match as an array, null when it does not match."""
+def _matched(text: Column, pattern: str, groups: int, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the capture groups of a full match (group n at n), null without a match."""
     marked = F.regexp_replace(
         text, rf"\A(?:{pattern})\z", _MARK + _MARK.join(f"${i}" for i in range(1, groups + 1))
     )
-    return F.when(marked.startswith(_MARK), F.split(marked, _MARK))
+    return let(F.split(marked, _MARK), lambda parts: F.when(F.size(parts) == groups + 1, body(parts)))
 
 
 def _moment(y: Column, mo: Column, d: Column, h: Column, mi: Column, s: Column) -> Column:
@@ -210,25 +231,25 @@ def _formatted(text: Column, fmt: str) -> Column:
         else:
             pattern += re.escape(ch)
             i += 1
-    parts = _parts(text, pattern, len(order))
 
-    def part(code: str, default: str) -> Column:
-        return F.trim(F.get(parts, F.lit(order.index(code) + 1))) if code in order else F.lit(default)
+    def moment(parts: Column) -> Column:
+        def part(code: str, default: str) -> Column:
+            if code not in order:
+                return F.lit(default)
+            return F.trim(F.get(parts, F.lit(order.index(code) + 1)))
 
-    if "y" in order:
-        short = part("y", "0").try_cast("int")
-        year = (F.when(short >= 69, 1900).otherwise(2000) + short).cast("string")
-    else:
         year = part("Y", "1900")
-    if "I" in order:
-        hour12 = part("I", "12").try_cast("int") % 12
-        afternoon = F.lower(part("p", "AM")) == "pm"
-        hour = (F.when(afternoon, hour12 + 12).otherwise(hour12)).cast("string")
-    else:
+        if "y" in order:
+            short = part("y", "0").try_cast("int")
+            year = (F.when(short >= 69, 1900).otherwise(2000) + short).cast("string")
         hour = part("H", "0")
-    seconds = F.concat(part("S", "0"), F.lit("."), part("f", "0"))
-    value = _moment(year, part("m", "1"), part("d", "1"), hour, part("M", "0"), seconds)
-    return F.when(parts.isNotNull(), value)
+        if "I" in order:
+            noon = F.when(F.lower(part("p", "AM")) == "pm", 12).otherwise(0)
+            hour = (part("I", "12").try_cast("int") % 12 + noon).cast("string")
+        seconds = F.concat(part("S", "0"), F.lit("."), part("f", "0"))
+        return _moment(year, part("m", "1"), part("d", "1"), hour, part("M", "0"), seconds)
+
+    return _matched(text, pattern, len(order), moment)
 
 
 _ISO_DATE = r"(\d{4})-?(\d{2})-?(\d{2})"
@@ -240,33 +261,41 @@ _ISO_TIME = (
 
 
 def _iso_date(text: Column) -> Column:
-    parts = _parts(text, _ISO_DATE, 3)
     zero = F.lit("0")
-    value = _moment(F.get(parts, F.lit(1)), F.get(parts, F.lit(2)), F.get(parts, F.lit(3)), zero, zero, zero)
-    return F.when(text.rlike(rf"\A{_ISO_DAY}\z"), value)
+
+    def day(parts: Column) -> Column:
+        return _moment(
+            F.get(parts, F.lit(1)), F.get(parts, F.lit(2)), F.get(parts, F.lit(3)), zero, zero, zero
+        )
+
+    return F.when(text.rlike(rf"\A{_ISO_DAY}\z"), _matched(text, _ISO_DATE, 3, day))
 
 
 def _iso_timestamp(text: Column, zone: Column) -> Column:
     """ISO text to naive UTC. An offset in the text wins over the tenant's zone."""
     time = r"(\d{2})?:?(\d{2})?:?(\d{2})?(?:[.,](\d+))?"
     offset = r"(?:(Z)|([+-])(\d{2}):?(\d{2})?:?(\d{2})?)?"
-    parts = _parts(text, rf"{_ISO_DATE}(?:(?s:.){time}{offset})?", 12)
 
-    def part(i: int, default: str = "0") -> Column:
-        p = F.get(parts, F.lit(i))
-        return F.when(p == "", default).otherwise(p)
+    def moment(parts: Column) -> Column:
+        def part(i: int, default: str = "0") -> Column:
+            p = F.get(parts, F.lit(i))
+            return F.when(p == "", default).otherwise(p)
 
-    fraction = F.substring(F.rpad(part(7), 6, "0"), 1, 6)
-    local = _moment(part(1), part(2), part(3), part(4), part(5), F.concat(part(6), F.lit("."), fraction))
-    seconds = (
-        part(10).try_cast("int") * 3600 + part(11).try_cast("int") * 60 + part(12).try_cast("int")
-    )
-    sign = F.when(part(9, "") == "-", F.lit(-1)).otherwise(F.lit(1))
-    zero = F.lit(0)
-    shifted = local - F.make_dt_interval(zero, zero, zero, sign * seconds)
-    has_offset = (part(8, "") != "") | (part(9, "") != "")
-    value = F.when(has_offset, shifted).otherwise(local_to_utc(local, zone))
-    return F.when(text.rlike(rf"(?s)\A{_ISO_DAY}(?:.{_ISO_TIME})?\z"), value)
+        fraction = F.substring(F.rpad(part(7), 6, "0"), 1, 6)
+        seconds = F.concat(part(6), F.lit("."), fraction)
+        away = part(10).try_cast("int") * 3600 + part(11).try_cast("int") * 60 + part(12).try_cast("int")
+        away = F.when(part(9, "") == "-", -away).otherwise(away)
+        zero = F.lit(0)
+        has_offset = (part(8, "") != "") | (part(9, "") != "")
+        return let(
+            _moment(part(1), part(2), part(3), part(4), part(5), seconds),
+            lambda local: F.when(
+                has_offset, local - F.make_dt_interval(zero, zero, zero, away)
+            ).otherwise(local_to_utc(local, zone)),
+        )
+
+    shaped = text.rlike(rf"(?s)\A{_ISO_DAY}(?:.{_ISO_TIME})?\z")
+    return F.when(shaped, _matched(text, rf"{_ISO_DATE}(?:(?s:.){time}{offset})?", 12, moment))
 
 
 def _first(values: Sequence[Column]) -> Column:
@@ -274,25 +303,23 @@ def _first(values: Sequence[Column]) -> Column:
 
 
 def _date(text: Column, opts: ParseOptions, kind: Column | None) -> Column:
-    t = strip(text)
-    value = _first([*[_formatted(t, f) for f in opts.date_formats], _iso_date(t)]).cast("date")
+    value = _first([*[_formatted(text, f) for f in opts.date_formats], _iso_date(text)]).cast("date")
     if kind is None:
         return value
     return (
-        F.when(_is(kind, "datetime", "date"), _iso_date(F.substring(t, 1, 10)).cast("date"))
-        .when(_is(kind, *NUMBER_KINDS), _serial(t).cast("date"))
+        F.when(_is(kind, "datetime", "date"), _iso_date(F.substring(text, 1, 10)).cast("date"))
+        .when(_is(kind, *NUMBER_KINDS), _serial(text).cast("date"))
         .otherwise(value)
     )
 
 
 def _timestamp(text: Column, opts: ParseOptions, zone: Column, kind: Column | None) -> Column:
-    t = strip(text)
-    local = [local_to_utc(_formatted(t, f), zone) for f in opts.timestamp_formats]
-    value = _first([*local, _iso_timestamp(t, zone)])
+    local = [local_to_utc(_formatted(text, f), zone) for f in opts.timestamp_formats]
+    iso = _iso_timestamp(text, zone)
     if kind is None:
-        return value
-    return (
-        F.when(_is(kind, "datetime", "date"), _iso_timestamp(t, zone))
-        .when(_is(kind, *NUMBER_KINDS), local_to_utc(_serial(t), zone))
-        .otherwise(value)
-    )
+        return _first([*local, iso])
+    # Typed moments are ISO text already and skip the tenant's formats.
+    moment = _is(kind, "datetime", "date")
+    number = F.when(_is(kind, *NUMBER_KINDS), local_to_utc(_serial(text), zone))
+    formats = [F.when(~moment & ~_is(kind, *NUMBER_KINDS), c) for c in local]
+    return F.coalesce(number, *formats, F.when(~_is(kind, *NUMBER_KINDS), iso))

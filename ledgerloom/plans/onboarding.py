@@ -25,11 +25,13 @@ from ..operators.upgrade import upgrade
 from ..operators.validate import (
     VIOLATION,
     batch_status,
+    check_duplicates,
+    check_fields,
+    check_references,
     is_accepted,
     missing_columns,
     reference_status,
     unreadable,
-    validate,
 )
 from ..session import workspace
 from ..sources.cells import read_cells
@@ -181,7 +183,11 @@ class Onboarding:
         for ref in sorted({t.feeds[feed].contract for t in tenants}):
             contract = self.registry.get(ref)
             pinned = F.col("contract") == ref
-            done = validate(mapped.where(pinned), contract, self.profiles, self._statuses(contract))
+            # Parsed once, then read by the duplicate and reference joins; their result is read by
+            # everything the step writes.
+            parsed = self._stage(check_fields(mapped.where(pinned), contract, self.profiles), "parsed")
+            done = check_duplicates(parsed, contract)
+            done = check_references(done, contract, self._statuses(contract))
             checked[ref] = done = self._stage(done, "validated")
             accepted.append(self._accepted(done, contract))
             held.append(self._rejected(done))
