@@ -43,6 +43,9 @@ class Tables:
         return {c["note"] for c in self._commits() if c["note"]}
 
     def write(self, table: str, gen: int, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        if partition_by:
+            # Few files per partition; partitions beyond the target size are split again.
+            df = df.hint("rebalance", *[F.col(c) for c in partition_by])
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -54,14 +57,17 @@ class Tables:
         df = self.spark.createDataFrame(row, schema)
         df.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
 
-    def read(self, table: str, since: int | None = None) -> DataFrame | None:
-        """Committed rows with their ``gen``; ``since`` excludes older generations. None if the
-        table has never been written."""
+    def read(self, table: str, since: int = 0, history: bool = False) -> DataFrame | None:
+        """Committed rows with their ``gen``, or None if there are none.
+
+        ``since`` excludes older generations. A compacted generation replaces those before it;
+        ``history`` reads them all, for logs that are only ever appended to.
+        """
         commits = self._commits()
         if not commits:
             return None
-        base = max(c["base"] for c in commits)
-        low = max(base, since if since is not None else 0)
+        base = 0 if history else max(c["base"] for c in commits)
+        low = max(base, since)
         gens = [c["gen"] for c in commits if c["gen"] >= low]
         paths = [p for p in (f"{self.root}/{table}/{GEN}={g}" for g in gens) if self._exists(p)]
         if not paths:

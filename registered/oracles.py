@@ -93,7 +93,51 @@ CTES["sales"] = f"""select {sk('tenant_id', 'transaction_id', 'line_number')} as
   unit_price, quantity * unit_price as line_amount, payment_method
   from latest_sales join tenants using (tenant_id)"""
 
+CTES["checked"] = """select *, transaction_id || '|' || line_number as record_key,
+  concat_ws(',', case when trim(item_name) = '' then 'required:item_name' end,
+    case quantity when 'fifty' then 'invalid_type:quantity' when '51' then 'out_of_range:quantity' end,
+    case when cast(substr(unit_price, 2) as decimal(12,2)) > 200 then 'out_of_range:unit_price' end,
+    case when payment_method = 'cheque' then 'not_allowed:payment_method' end) as own
+  from sales_texts"""
+CTES["first_rows"] = """select batch_id, record_key, min(source_row) as first_row from checked
+  where own = '' and not lacks_payment group by 1, 2"""
+CTES["ruled"] = """select c.*, f.first_row,
+  case when lacks_payment then '' else concat_ws(',', nullif(own, ''),
+    case when own = '' and source_row > first_row then 'duplicate_key:transaction_id' end,
+    case when (tenant_id, store_building_code) in (select (tenant_id, building_code) from raw_buildings)
+           then null
+         when (tenant_id, store_building_code) in (select (tenant_id, code) from held_buildings)
+           then 'held_reference:store_building_code' else 'unknown_reference:store_building_code' end,
+    case when cashier_staff_code is null
+              or (tenant_id, cashier_staff_code) in (select (tenant_id, staff_code) from raw_staff) then null
+         when (tenant_id, cashier_staff_code) in (select (tenant_id, code) from held_staff)
+           then 'held_reference:cashier_staff_code' else 'unknown_reference:cashier_staff_code' end)
+  end as rules
+  from checked c left join first_rows f using (batch_id, record_key)"""
+CTES["broken"] = """select batch_id, tenant_id, source_row, split_part(r, ':', 1) as rule,
+  split_part(r, ':', 2) as field, store_building_code, cashier_staff_code
+  from (select *, unnest(string_split(rules, ',')) as r from ruled where rules <> '')"""
+CTES["batch_totals"] = """select batch_id, tenant_id, 'commissary_transactions' as feed,
+  count(*) as rows_received, count(*) filter (rules = '' and not lacks_payment) as rows_loaded,
+  count(*) filter (rules <> '' or lacks_payment) as rows_quarantined, max(sent_on) as finished_at,
+  case when bool_or(lacks_payment) then 'rejected'
+       when bool_or(rules <> '') then 'loaded_with_errors' else 'loaded' end as batch_status
+  from ruled group by 1, 2"""
+CTES["loads"] = """select distinct tenant_id, record_key, batch_id, sent_on from ruled
+  where rules = '' and not lacks_payment"""
+CTES["held"] = """select h.*, (select min(l.sent_on) from loads l where l.tenant_id = h.tenant_id
+    and l.record_key = h.record_key and l.sent_on > h.sent_on) as resolved_at
+  from ruled h where rules <> '' or lacks_payment"""
+
 _USES = {
+    "sales_texts": ["raw_sales"],
+    "checked": ["sales_texts"],
+    "first_rows": ["checked"],
+    "ruled": ["first_rows", "raw_buildings", "raw_staff", "held_buildings", "held_staff"],
+    "broken": ["ruled"],
+    "batch_totals": ["ruled"],
+    "loads": ["ruled"],
+    "held": ["loads"],
     "stg": ["raw_app_events"],
     "ev": ["stg"],
     "fct": ["ev", "tenants"],
@@ -278,3 +322,120 @@ oracle(
     "check_accepted_range",
     "select building_code, capacity from raw_buildings where capacity < 10", "raw_buildings",
 )
+
+oracle(
+    "coerce_decimal",
+    """select l_orderkey, l_linenumber, l_partkey, l_shipdate,
+       if(starts_with(t, '('), -n, n) as value,
+       if(t <> '' and n is null, 'expected a number', null) as error
+       from (select *, try_cast(replace(trim(t, '()'), ',', '') as decimal(12,2)) as n
+             from (select *, trim(regexp_replace(amount, '[$]|cad|usd', '', 'gi')) as t from amount_texts))""",
+    "amount_texts", ts="l_shipdate", money="value",
+)
+oracle(
+    "coerce_date",
+    """select o_orderkey, value, if(value is null, 'expected a date like 07/04/2026', null) as error
+       from (select o_orderkey, coalesce(try_strptime(day_text, '%m/%d/%Y'),
+               try_strptime(day_text, '%Y-%m-%d')) as value from date_texts)""",
+    "date_texts", day="value",
+)
+oracle(
+    "coerce_timestamp",
+    """select event_id, value,
+       if(value is null, 'expected a date and time like 07/04/2026 14:30', null) as error
+       from (select event_id, case
+         when time_text like '%-07:00' then timezone('UTC', cast(time_text as timestamptz))
+         else timezone('UTC', timezone('America/New_York', coalesce(
+           try_strptime(time_text, '%m/%d/%Y %H:%M'), try_cast(time_text as timestamp)))) end as value
+         from time_texts)""",
+    "time_texts", ts="value",
+)
+oracle(
+    "coerce_integer",
+    """select batch_id, source_row, transaction_id, line_number, try_cast(quantity as int) as value,
+       if(quantity = 'fifty', 'expected a whole number', null) as error from sales_texts""",
+    "sales_texts",
+)
+oracle(
+    "coerce_boolean",
+    """select c_custkey, case c_mktsegment when 'FURNITURE' then true when 'BUILDING' then true
+       when 'MACHINERY' then false end as value,
+       case c_mktsegment when 'AUTOMOBILE' then 'expected yes or no' end as error from customer""",
+)
+oracle(
+    "map_values",
+    """select o_orderstatus as batch_id, o_orderkey as source_row,
+       cast(o_orderkey as varchar) as transaction_id,
+       case o_orderpriority when '1-URGENT' then 'camper_account' when '2-HIGH' then 'cash'
+         when '5-LOW' then 'card' else ' ' || lower(o_orderpriority) || '  ' end as payment_method,
+       true as sold_at_missing, 'Sold' as missing_columns from orders""",
+)
+oracle(
+    "validate_rows",
+    """select batch_id, source_row, record_key, rules, cast(lacks_payment as int) as file_problems,
+       if(lacks_payment or own like '%quantity%', null, try_cast(quantity as int)) as quantity from ruled""",
+    "ruled",
+)
+oracle(
+    "duplicate_keys",
+    """select batch_id, source_row, record_key,
+       'transaction_id, line_number ' || chr(39) || record_key || chr(39) || ' already appears on row ' || first_row
+         || '. We kept row ' || first_row || '.' as message
+       from ruled where rules like '%duplicate_key%'""",
+    "ruled",
+)
+oracle(
+    "reference_check",
+    """select tenant_id, rule, field,
+       if(field = 'cashier_staff_code', cashier_staff_code, store_building_code) as value,
+       count(*) as n_rows from broken where rule like '%_reference' group by all""",
+    "broken",
+)
+oracle(
+    "violation_groups",
+    """select batch_id, row_number() over (partition by batch_id
+         order by rule = 'held_reference', count desc, rule, "column") as position,
+       rule, "column", count, array_to_string(shown[1:12], ',') as example_rows,
+       greatest(0, count - 12) as more
+       from (select batch_id, rule,
+               if(rule = 'duplicate_key', 'transaction_id, line_number', field) as "column",
+               count(*) as count, list(source_row order by source_row) as shown
+             from broken group by 1, 2, 3)""",
+    "broken",
+)
+oracle("batch_status", "select * from batch_totals", "batch_totals", ts="finished_at")
+oracle(
+    "quarantine_resolution",
+    """select h.batch_id, h.source_row, l.batch_id as resolved_batch_id, h.resolved_at
+       from held h join loads l on l.tenant_id = h.tenant_id and l.record_key = h.record_key
+         and l.sent_on = h.resolved_at""",
+    "held", ts="resolved_at",
+)
+oracle(
+    "mon_ingestion_quality",
+    """select b.tenant_id, t.camp_name, b.feed, b.batches, b.files_rejected, b.rows_received, b.rows_loaded,
+       b.rows_quarantined, q.rows_resolved, q.rows_open, q.oldest_open_since, b.last_batch_at
+       from (select tenant_id, feed, count(*) as batches,
+               count(*) filter (batch_status = 'rejected') as files_rejected,
+               cast(sum(rows_received) as bigint) as rows_received,
+               cast(sum(rows_loaded) as bigint) as rows_loaded,
+               cast(sum(rows_quarantined) as bigint) as rows_quarantined,
+               max(finished_at) as last_batch_at from batch_totals group by 1, 2) b
+       join tenants t using (tenant_id)
+       left join (select tenant_id, count(*) filter (done) as rows_resolved,
+                    count(*) filter (not done) as rows_open, min(sent_on) filter (not done) as oldest_open_since
+                  from (select *, max(resolved_at) over (partition by batch_id, source_row) is not null as done
+                        from held) group by 1) q using (tenant_id)""",
+    "batch_totals", "held", "tenants", ts="oldest_open_since last_batch_at",
+)
+oracle(
+    "contract_upgrade",
+    """select tenant_id, asset_tag, asset_name, 'other' as category, building_code, purchased_on,
+       purchase_cost, 'in_service' as status from raw_assets""",
+    "raw_assets", day="purchased_on", money="purchase_cost",
+)
+oracle("incremental_work_orders", "select * from wo", "wo", **_WO)
+oracle(
+    "incremental_maintenance_daily", "select * from daily", "daily", day="activity_date", money="parts_cost",
+)
+oracle("streamed_dedupe", "select * from ev", "ev", ts=_EV_TS, money=_EV_MONEY)

@@ -8,9 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import access, checks
+from ledgerloom import contracts
+from ledgerloom.config import ParseOptions, Tenant
+from ledgerloom.functions.coerce import coerce, stored
+from ledgerloom.operators import access, checks, quarantine, reports
 from ledgerloom.operators.dedupe import latest_per_key
+from ledgerloom.operators.mapping import config_frame, file_layouts, map_columns
+from ledgerloom.operators.upgrade import upgrade
+from ledgerloom.operators.validate import batch_status as status_of
+from ledgerloom.operators.validate import is_accepted, reference_status, validate
 from ledgerloom.plans import dims, events, facts, monitoring, reporting, staging
+from ledgerloom.session import workspace
+from ledgerloom.streaming.marts import EventMarts
+from ledgerloom.streaming.stream import start
 
 from .views import spark_sql, view
 
@@ -220,3 +230,269 @@ def check_accepted_values(spark, d):
 def check_accepted_range(spark, d):
     failures = checks.accepted_range(view(spark, d, "raw_buildings"), "capacity", min_value=10)
     return failures.select("building_code", "capacity")
+
+
+# Coercion and mapping
+
+US = ParseOptions(("%m/%d/%Y",), ("%m/%d/%Y %H:%M",))
+
+
+def _coerced(df: DataFrame, text: str, type_: str, keys: list[str], zone: str = "UTC") -> DataFrame:
+    c = coerce(F.col(text), type_, US, zone)
+    return df.select(*keys, stored(c.value, type_).alias("value"), c.error.alias("error"))
+
+
+@query
+def coerce_decimal(spark, d):
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"]
+    return _coerced(view(spark, d, "amount_texts"), "amount", "decimal", keys)
+
+
+@query
+def coerce_date(spark, d):
+    return _coerced(view(spark, d, "date_texts"), "day_text", "date", ["o_orderkey"])
+
+
+@query
+def coerce_timestamp(spark, d):
+    texts = view(spark, d, "time_texts")
+    return _coerced(texts, "time_text", "timestamp", ["event_id"], "America/New_York")
+
+
+@query
+def coerce_integer(spark, d):
+    texts = view(spark, d, "sales_texts")
+    return _coerced(texts, "quantity", "integer", ["batch_id", "source_row", "transaction_id", "line_number"])
+
+
+@query
+def coerce_boolean(spark, d):
+    """Market segments as yes/no cells: most are neither."""
+    sql = """select c_custkey, case c_mktsegment when 'FURNITURE' then ' Yes' when 'MACHINERY' then 'F'
+             when 'BUILDING' then 'x' when 'HOUSEHOLD' then '' else c_mktsegment end as t from {customer}"""
+    return _coerced(spark_sql(spark, d, sql), "t", "boolean", ["c_custkey"])
+
+
+def _order_tenant(tenant_id: str) -> Tenant:
+    feed = {
+        "contract": "commissary_transactions@1",
+        "files": "*.csv",
+        "columns": {"Receipt #": "transaction_id", "Tender": "payment_method", "Sold": "sold_at"},
+        "values": {"payment_method": {"1-Urgent": "camper_account", "2-High": "cash", "5-low": "card"}},
+    }
+    return Tenant.from_dict(
+        {"tenant_id": tenant_id, "timezone": "UTC", "feeds": {"commissary_transactions": feed}}
+    )
+
+
+@query
+def map_values(spark, d):
+    """Orders as one file per status: loose headers, translated and untranslated values."""
+    files = spark_sql(
+        spark,
+        d,
+        """select o_orderstatus as batch_id, o_orderstatus as tenant_id, 'commissary_transactions' as feed,
+           '/in/' || o_orderstatus as path, o_orderstatus as source_file,
+           cast('2024-01-01 00:00:00' as timestamp) as loaded_at, '/in/' || o_orderstatus as file_path,
+           array('  RECEIPT   # ', 'tender', 'Clerk') as headers from {orders} group by o_orderstatus""",
+    )
+    records = spark_sql(
+        spark,
+        d,
+        """select '/in/' || o_orderstatus as file_path, o_orderkey as source_row,
+           array(cast(o_orderkey as string), ' ' || lower(o_orderpriority) || '  ', 'x') as cells
+           from {orders}""",
+    )
+    config = config_frame(spark, [_order_tenant(t) for t in "FOP"])
+    layouts = file_layouts(files.drop("file_path", "headers"), files.select("file_path", "path", "headers"), config)
+    mapped = map_columns(records, layouts)
+    return mapped.select(
+        "batch_id",
+        "source_row",
+        F.element_at("raw", F.lit("transaction_id")).alias("transaction_id"),
+        F.element_at("raw", F.lit("payment_method")).alias("payment_method"),
+        F.element_at("raw", F.lit("sold_at")).isNull().alias("sold_at_missing"),
+        F.array_join("missing_columns", ",").alias("missing_columns"),
+    )
+
+
+# Validation and quarantine
+
+SALES = contracts.registry().get("commissary_transactions@1")
+
+
+def _sales_rows(spark: SparkSession, d: str) -> DataFrame:
+    texts = view(spark, d, "sales_texts")
+    fields = [F.lit(n) for n in SALES.fields]
+    labels = F.map_from_arrays(F.array(*fields), F.array(*fields))
+    missing = F.when(F.col("lacks_payment"), F.array(F.lit("payment_method"))).otherwise(
+        F.array().cast("array<string>")
+    )
+    return texts.select(
+        "batch_id",
+        "tenant_id",
+        F.lit(SALES.feed).alias("feed"),
+        "source_row",
+        F.lit("UTC").alias("timezone"),
+        F.lit(0).alias("profile"),
+        F.map_from_arrays(F.array(*fields), F.array(*SALES.fields)).alias("raw"),
+        labels.alias("labels"),
+        missing.alias("missing_columns"),
+        F.col("sent_on").alias("loaded_at"),
+    )
+
+
+def _sales_validated(spark: SparkSession, d: str) -> DataFrame:
+    buildings = quarantine.known_keys(view(spark, d, "raw_buildings"), "building_code")
+    staff = quarantine.known_keys(view(spark, d, "raw_staff"), "staff_code")
+    statuses = {
+        "store_building_code": reference_status(buildings, view(spark, d, "held_buildings")),
+        "cashier_staff_code": reference_status(staff, view(spark, d, "held_staff")),
+    }
+    return validate(_sales_rows(spark, d), SALES, [ParseOptions()], statuses)
+
+
+@query
+def validate_rows(spark, d):
+    done = _sales_validated(spark, d)
+    rules = F.transform("violations", lambda v: F.concat_ws(":", v["rule"], v["field"]))
+    return done.select(
+        "batch_id",
+        "source_row",
+        "record_key",
+        F.array_join(rules, ",").alias("rules"),
+        F.size("file_violations").alias("file_problems"),
+        F.col("record.quantity").alias("quantity"),
+    )
+
+
+@query
+def duplicate_keys(spark, d):
+    done = _sales_validated(spark, d)
+    found = done.select("batch_id", "source_row", F.explode("violations").alias("v"))
+    return found.where(F.col("v.rule") == "duplicate_key").select(
+        "batch_id", "source_row", F.col("v.value").alias("record_key"), F.col("v.message").alias("message")
+    )
+
+
+@query
+def reference_check(spark, d):
+    done = _sales_validated(spark, d)
+    found = done.select("tenant_id", F.explode("violations").alias("v"))
+    wanted = found.where(F.col("v.rule").isin("unknown_reference", "held_reference"))
+    return wanted.groupBy(
+        "tenant_id",
+        F.col("v.rule").alias("rule"),
+        F.col("v.field").alias("field"),
+        F.col("v.value").alias("value"),
+    ).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def violation_groups(spark, d):
+    groups = reports.violation_groups(_sales_validated(spark, d).where(~is_accepted()))
+    shown = F.transform("examples", lambda v: v["source_row"].cast("string"))
+    return groups.select(
+        "batch_id", "position", "rule", "column", "count", F.array_join(shown, ",").alias("example_rows"),
+        F.col("more").cast("bigint").alias("more"),
+    )
+
+
+def _sales_batches(done: DataFrame) -> DataFrame:
+    totals = done.groupBy("batch_id", "tenant_id", "feed").agg(
+        F.count(F.lit(1)).alias("rows_received"),
+        F.count_if(is_accepted()).alias("rows_loaded"),
+        F.count_if(~is_accepted()).alias("rows_quarantined"),
+        F.max(F.size("file_violations") > 0).alias("rejected"),
+        F.max("loaded_at").alias("finished_at"),
+    )
+    status = status_of(F.col("rejected"), F.col("rows_quarantined"))
+    return totals.withColumn("batch_status", status).drop("rejected")
+
+
+@query
+def batch_status(spark, d):
+    return _sales_batches(_sales_validated(spark, d))
+
+
+def _sales_resolutions(done: DataFrame) -> tuple[DataFrame, DataFrame]:
+    held = done.where(~is_accepted()).withColumnRenamed("loaded_at", "quarantined_at")
+    return held, quarantine.resolutions(held, done.where(is_accepted()))
+
+
+@query
+def quarantine_resolution(spark, d):
+    """Which held sale lines a later year's file closed, and when."""
+    _, closed = _sales_resolutions(_sales_validated(spark, d))
+    return closed.select("batch_id", "source_row", "resolved_batch_id", "resolved_at")
+
+
+@query
+def mon_ingestion_quality(spark, d):
+    done = _sales_validated(spark, d)
+    held, closed = _sales_resolutions(done)
+    # Line items may share a source row, so resolutions are counted per (batch, row) first.
+    closed = closed.groupBy("batch_id", "source_row").agg(
+        F.min("resolved_batch_id").alias("resolved_batch_id"), F.min("resolved_at").alias("resolved_at")
+    )
+    rows = quarantine.with_resolution(held, closed).withColumn("source_file", F.col("batch_id"))
+    return monitoring.mon_ingestion_quality(
+        _sales_batches(done), staging.stg_quarantine(rows), _tenants(spark, d)
+    )
+
+
+@query
+def contract_upgrade(spark, d):
+    registry = contracts.registry()
+    v1 = view(spark, d, "raw_assets").select(
+        "tenant_id", "asset_tag", "asset_name", "building_code", "purchased_on",
+        F.col("purchase_cost").alias("purchase_price"),
+    )
+    return upgrade(v1, registry.get("assets@1"), registry)
+
+
+# Incremental and streaming
+
+LANDINGS = 3
+
+
+def _marts(spark: SparkSession, d: str) -> EventMarts:
+    """All copies, landed in three runs that interleave received days, so that copies received
+    earlier land later."""
+    raw = view(spark, d, "raw_app_events").withColumn(
+        "landing", F.dayofmonth(F.col("received_at").cast("date")) % LANDINGS
+    )
+    marts = EventMarts(spark, workspace(spark, "marts"), _tenants(spark, d))
+    for n in range(LANDINGS):
+        marts.run(raw.where(F.col("landing") == n), AS_OF + dt.timedelta(hours=n))
+    return marts
+
+
+@query
+def incremental_work_orders(spark, d):
+    return _marts(spark, d).work_orders().drop("_loaded_at")
+
+
+@query
+def incremental_maintenance_daily(spark, d):
+    return _marts(spark, d).daily().drop("_refreshed_at")
+
+
+@query
+def streamed_dedupe(spark, d):
+    """Uploads as JSON lines through the streaming job, two micro-batches."""
+    raw = view(spark, d, "raw_app_events")
+    shown = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    event = F.struct(
+        "event_id", "device_id", "device_seq", "event_type",
+        F.date_format("occurred_at", shown).alias("occurred_at"), "payload",
+    )
+    sent = raw.groupBy("upload_id", "tenant_id", "device_id", "received_at").agg(
+        F.collect_list(event).alias("events")
+    )
+    folder = workspace(spark, "uploads")
+    sent.withColumn("received_at", F.date_format("received_at", shown)).repartition(2).write.json(folder)
+    marts = EventMarts(spark, workspace(spark, "marts"), _tenants(spark, d))
+    run = start(spark, folder, workspace(spark, "stream"), marts, max_files=1)
+    run.awaitTermination()
+    return marts.events().drop("_loaded_at")

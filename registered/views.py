@@ -119,7 +119,74 @@ select 'E' || cast(event_id as string) as event_id, tenant_id,
 from copies
 """
 
+AMOUNT_TEXTS = """
+select l_orderkey, l_linenumber, l_partkey, l_shipdate,
+       case l_returnflag
+         when 'R' then ' $' || cast(cast(l_extendedprice as decimal(12,2)) as string)
+         when 'A' then '($' || cast(cast(l_extendedprice as decimal(12,2)) as string) || ')'
+         else case when l_discount = 0.1 then 'free' when l_discount = 0 then '  '
+              else 'cad 1,' || cast(cast(100 + l_quantity as int) as string) || '.5' end
+       end as amount
+from {lineitem}
+"""
+
+DATE_TEXTS = """
+select o_orderkey,
+       case o_orderstatus
+         when 'F' then cast(extract(month from o_orderdate) as string) || '/'
+           || cast(extract(day from o_orderdate) as string) || '/'
+           || cast(extract(year from o_orderdate) as string)
+         when 'O' then cast(cast(o_orderdate as date) as string)
+         else case when o_totalprice > 250000 then 'week of ' else '13/' end
+           || cast(cast(o_orderdate as date) as string) end as day_text
+from {orders}
+"""
+
+TIME_TEXTS = """
+select event_id,
+       case event_type
+         when 'click' then cast(extract(month from ts) as string) || '/' || cast(extract(day from ts) as string)
+           || '/' || cast(extract(year from ts) as string) || ' ' || cast(extract(hour from ts) as string)
+           || ':' || cast(extract(minute from ts) as string)
+         when 'view' then cast(ts as string)
+         when 'error' then cast(cast(ts as date) as string) || 'T12:30:00-07:00'
+         else 'around ' || cast(ts as string) end as time_text
+from {events}
+"""
+
+SALES_TEXTS = """
+select s.tenant_id || '-' || cast(extract(year from s._loaded_at) as string) as batch_id, s.tenant_id,
+       s._source_row as source_row, s.transaction_id, cast(s.line_number as string) as line_number,
+       cast(cast(s.sold_at as date) as string) as sold_at, s.store_building_code, s.cashier_staff_code,
+       s.sku, case when s.quantity = 10 then ' ' else s.item_name end as item_name, s.item_category,
+       case s.quantity when 50 then 'fifty' when 49 then '51' else cast(s.quantity as string) end as quantity,
+       '$' || cast(cast(s.quantity * 4.1 as decimal(12,2)) as string) as unit_price,
+       case when s.item_category = 'apparel' and s.quantity < 3 then 'cheque' else s.payment_method end
+         as payment_method,
+       extract(year from s._loaded_at) = 1999 as lacks_payment,
+       cast(cast(extract(year from s._loaded_at) as string) || '-12-31 00:00:00' as timestamp) as sent_on
+from {raw_sales} s
+"""
+
+HELD_BUILDINGS = """
+select r.r_name as tenant_id, 'SUP-' || cast(s.s_suppkey as string) as code
+from {supplier} s join {nation} n on s.s_nationkey = n.n_nationkey
+join {region} r on n.n_regionkey = r.r_regionkey where s.s_acctbal < 0
+"""
+
+HELD_STAFF = """
+select r.r_name as tenant_id, 'STF-' || cast(c.c_custkey as string) as code
+from {customer} c join {nation} n on c.c_nationkey = n.n_nationkey
+join {region} r on n.n_regionkey = r.r_regionkey where c.c_acctbal < 0
+"""
+
 VIEWS = {
+    "amount_texts": AMOUNT_TEXTS,
+    "date_texts": DATE_TEXTS,
+    "time_texts": TIME_TEXTS,
+    "sales_texts": SALES_TEXTS,
+    "held_buildings": HELD_BUILDINGS,
+    "held_staff": HELD_STAFF,
     "tenants": TENANTS,
     "raw_buildings": RAW_BUILDINGS,
     "raw_assets": RAW_ASSETS,
@@ -144,7 +211,9 @@ def spark_sql(spark: SparkSession, sf_dir: str, sql: str, **views: DataFrame) ->
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark_sql(spark, sf_dir, VIEWS[name])
+    sql = VIEWS[name]
+    inner = {v: view(spark, sf_dir, v) for v in VIEWS if "{" + v + "}" in sql}
+    return spark_sql(spark, sf_dir, sql, **inner)
 
 
 def duck(sql: str, **names: str) -> str:
