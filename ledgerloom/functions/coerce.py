@@ -19,7 +19,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import SPARK_TYPES, ContractError, ParseOptions
-from .text import collapse, is_blank, strip
+from .text import collapse, strip
 from .timeutil import local_to_utc
 
 # What tenants write for yes and no, currency marks, spreadsheet date serials.
@@ -45,18 +45,17 @@ _MARK = "\u0001"
 
 @dataclass(frozen=True)
 class Coerced:
-    value: Column
-    message: Column  # what to say when a cell that is not blank has no value
-    text: Column
+    cell: Column  # struct<value, bad>; bad: neither blank nor readable
+    message: Column
+
+    @property
+    def value(self) -> Column:
+        return self.cell["value"]
 
     @property
     def error(self) -> Column:
         """Null when the cell was readable or blank."""
-        return unreadable(self.text, self.value, self.message)
-
-
-def unreadable(text: Column, value: Column, message: Column) -> Column:
-    return F.when(~is_blank(text) & value.isNull(), message)
+        return F.when(self.cell["bad"], self.message)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -74,23 +73,31 @@ def coerce(
     """Coerce one cell column. ``kind`` is null or absent for text cells."""
     if type_ not in SPARK_TYPES:
         raise ContractError(f"unknown type {type_!r}")
+    if type_ == "string":
+        value = F.nullif(_string(text, kind), F.lit(""))
+        cell = F.struct(value.alias("value"), F.lit(False).alias("bad"))
+        return Coerced(cell, F.lit(None).cast("string"))
     zone = F.lit(zone) if isinstance(zone, str) else zone
     rules = {
-        "string": lambda t: _string(t, kind),
         "integer": lambda t: _integer(t, opts, kind),
         "decimal": lambda t: _decimal(t, opts, kind),
         "date": lambda t: _date(t, opts, kind),
         "timestamp": lambda t: _timestamp(t, opts, zone, kind),
         "boolean": _boolean,
     }
-    # Blank cells are empty after stripping, and no rule but the one for text reads those.
-    value = let(strip(text), lambda t: F.when(t != "", rules[type_](t)))
-    if type_ == "string":
-        return Coerced(value, F.lit(None).cast("string"), text)
+    cell = let(
+        strip(text),
+        lambda t: let(
+            F.when(t != "", rules[type_](t)),
+            lambda v: F.struct(
+                v.alias("value"), (F.coalesce(t != "", F.lit(False)) & v.isNull()).alias("bad")
+            ),
+        ),
+    )
     message = F.lit(expected(type_, opts))
     if kind is not None and type_ in ("date", "timestamp"):
         message = F.when(kind.isin(*NUMBER_KINDS), EXPECTED["date"]).otherwise(message)
-    return Coerced(value, message, text)
+    return Coerced(cell, message)
 
 
 def stored(value: Column, type_: str) -> Column:

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 # information separators count, not just the ASCII blanks.
 SPACE = r"[\s\u001c-\u001f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
+_SPACE_CHARS = " \t\n\u000b\f\r\u001c\u001d\u001e\u001f\u0085\u00a0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    chr(c) for c in range(0x2000, 0x200B)
+)
+
 
 def collapse(c: Column) -> Column:
     """Runs of white space become one blank; both ends are trimmed."""
@@ -16,7 +20,7 @@ def collapse(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(c, F.lit(_SPACE_CHARS))
 
 
 def is_blank(c: Column) -> Column:

@@ -33,7 +33,7 @@ from ..operators.validate import (
     reference_status,
     unreadable,
 )
-from ..session import workspace
+from ..session import staged, workspace
 from ..sources.cells import read_cells
 from ..sources.delimited import read_delimited, same_path
 from ..sources.files import discover, fingerprints, new_files
@@ -116,7 +116,7 @@ class Onboarding:
         """Ingest everything new under ``landing``. ``cells`` holds the content of spreadsheet
         files (see ``sources.cells``). Returns the batches of this run."""
         run_at = run_at or utc_now()
-        files = self._stage(self._batches_of(self.pending(landing), run_at), "files")
+        files = staged(self._batches_of(self.pending(landing), run_at), "files")
         present = {(r["feed"], r["tenant_id"]) for r in files.select("feed", "tenant_id").distinct().collect()}
         before = self.tables.last()
         for feed in self.registry.load_order():
@@ -126,11 +126,6 @@ class Onboarding:
         new = self.tables.read("ingest_batches", since=before + 1)
         return self.spark.createDataFrame([], BATCHES) if new is None else new.drop("gen")
 
-    def _stage(self, df: DataFrame, purpose: str) -> DataFrame:
-        path = workspace(self.spark, purpose)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
     def _batches_of(self, files: DataFrame, run_at: dt.datetime) -> DataFrame:
         # Files of a tenant's feed load oldest first; a microsecond apart keeps them in order.
         nth = F.row_number().over(
@@ -171,7 +166,7 @@ class Onboarding:
         for fmt, ids in by_format.items():
             theirs = files.where(F.col("tenant_id").isin(ids))
             records, headers, bad = self._scan(fmt, theirs, cells)
-            layout = self._stage(file_layouts(theirs, headers, self.config), "layouts")
+            layout = staged(file_layouts(theirs, headers, self.config), "layouts")
             layouts.append(layout)
             errors.append(bad)
             rows.append(map_columns(records, layout))
@@ -185,10 +180,10 @@ class Onboarding:
             pinned = F.col("contract") == ref
             # Parsed once, then read by the duplicate and reference joins; their result is read by
             # everything the step writes.
-            parsed = self._stage(check_fields(mapped.where(pinned), contract, self.profiles), "parsed")
+            parsed = staged(check_fields(mapped.where(pinned), contract, self.profiles), "parsed")
             done = check_duplicates(parsed, contract)
             done = check_references(done, contract, self._statuses(contract))
-            checked[ref] = done = self._stage(done, "validated")
+            checked[ref] = done = staged(done, "validated")
             accepted.append(self._accepted(done, contract))
             held.append(self._rejected(done))
             broken.append(

@@ -18,11 +18,11 @@ from ledgerloom.operators.upgrade import upgrade
 from ledgerloom.operators.validate import batch_status as status_of
 from ledgerloom.operators.validate import is_accepted, reference_status, validate
 from ledgerloom.plans import dims, events, facts, monitoring, reporting, staging
-from ledgerloom.session import workspace
+from ledgerloom.session import staged, workspace
 from ledgerloom.streaming.marts import EventMarts
 from ledgerloom.streaming.stream import start
 
-from .views import spark_sql, view
+from .views import spark_sql, spread, table, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -245,7 +245,8 @@ def _coerced(df: DataFrame, text: str, type_: str, keys: list[str], zone: str =
 @query
 def coerce_decimal(spark, d):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"]
-    return _coerced(view(spark, d, "amount_texts"), "amount", "decimal", keys)
+    texts = spread(view(spark, d, "amount_texts"), table(spark, d, "lineitem"))
+    return _coerced(texts, "amount", "decimal", keys)
 
 
 @query
@@ -322,7 +323,7 @@ SALES = contracts.registry().get("commissary_transactions@1")
 
 
 def _sales_rows(spark: SparkSession, d: str) -> DataFrame:
-    texts = view(spark, d, "sales_texts")
+    texts = spread(view(spark, d, "sales_texts"), table(spark, d, "lineitem"))
     fields = [F.lit(n) for n in SALES.fields]
     labels = F.map_from_arrays(F.array(*fields), F.array(*fields))
     missing = F.when(F.col("lacks_payment"), F.array(F.lit("payment_method"))).otherwise(
@@ -349,7 +350,9 @@ def _sales_validated(spark: SparkSession, d: str) -> DataFrame:
         "store_building_code": reference_status(buildings, view(spark, d, "held_buildings")),
         "cashier_staff_code": reference_status(staff, view(spark, d, "held_staff")),
     }
-    return validate(_sales_rows(spark, d), SALES, [ParseOptions()], statuses)
+    return validate(
+        _sales_rows(spark, d), SALES, [ParseOptions()], statuses, lambda df: staged(df, "parsed")
+    )
 
 
 @query
