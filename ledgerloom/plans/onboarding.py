@@ -25,13 +25,11 @@ from ..operators.upgrade import upgrade
 from ..operators.validate import (
     VIOLATION,
     batch_status,
-    check_duplicates,
-    check_fields,
-    check_references,
     is_accepted,
     missing_columns,
     reference_status,
     unreadable,
+    validate,
 )
 from ..session import staged, workspace
 from ..sources.cells import read_cells
@@ -64,6 +62,10 @@ def _union(frames: list[DataFrame], schema: str, spark: SparkSession) -> DataFra
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _keep(df: DataFrame) -> DataFrame:
+    return staged(df, "validated")
+
+
 class Onboarding:
     def __init__(
         self,
@@ -180,10 +182,8 @@ class Onboarding:
             pinned = F.col("contract") == ref
             # Parsed once, then read by the duplicate and reference joins; their result is read by
             # everything the step writes.
-            parsed = staged(check_fields(mapped.where(pinned), contract, self.profiles), "parsed")
-            done = check_duplicates(parsed, contract)
-            done = check_references(done, contract, self._statuses(contract))
-            checked[ref] = done = staged(done, "validated")
+            done = validate(mapped.where(pinned), contract, self.profiles, self._statuses(contract), _keep)
+            checked[ref] = done = _keep(done)
             accepted.append(self._accepted(done, contract))
             held.append(self._rejected(done))
             broken.append(
@@ -259,7 +259,7 @@ class Onboarding:
         earlier = q.open_rows(self._held().where(F.col("feed") == feed), self._closed())
         columns = ["tenant_id", "feed", "record_key", "batch_id", "source_row", "quarantined_at"]
         waiting = earlier.select(*columns).unionByName(now_held.select(*columns))
-        self.tables.write("resolutions", gen, q.resolutions(waiting, loaded))
+        self.tables.write("resolutions", gen, q.resolutions(waiting, loaded, _keep))
 
     def _audit(
         self,

@@ -56,7 +56,8 @@ def _tenants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stg(spark: SparkSession, d: str) -> DataFrame:
-    return staging.stg_app_events(view(spark, d, "raw_app_events"))
+    raw = spread(view(spark, d, "raw_app_events"), table(spark, d, "events"))
+    return staging.stg_app_events(raw)
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
@@ -351,7 +352,7 @@ def _sales_validated(spark: SparkSession, d: str) -> DataFrame:
         "cashier_staff_code": reference_status(staff, view(spark, d, "held_staff")),
     }
     return validate(
-        _sales_rows(spark, d), SALES, [ParseOptions()], statuses, lambda df: staged(df, "parsed")
+        _sales_rows(spark, d), SALES, [ParseOptions()], statuses, lambda df: staged(df, "validated")
     )
 
 
@@ -419,6 +420,7 @@ def batch_status(spark, d):
 
 
 def _sales_resolutions(done: DataFrame) -> tuple[DataFrame, DataFrame]:
+    done = staged(done.drop("raw", "labels", "record"), "validated")
     held = done.where(~is_accepted()).withColumnRenamed("loaded_at", "quarantined_at")
     return held, quarantine.resolutions(held, done.where(is_accepted()))
 
