@@ -45,17 +45,25 @@ _MARK = "\u0001"
 
 @dataclass(frozen=True)
 class Coerced:
-    cell: Column  # struct<value, bad>; bad: neither blank nor readable
+    cell: Column  # struct<value, bad>, or the bare value of a type that reads any text
     message: Column
+    is_text: bool = False
 
     @property
     def value(self) -> Column:
-        return self.cell["value"]
+        return self.value_of(self.cell)
 
     @property
     def error(self) -> Column:
         """Null when the cell was readable or blank."""
-        return F.when(self.cell["bad"], self.message)
+        return F.when(self.bad_of(self.cell), self.message)
+
+    def value_of(self, cell: Column) -> Column:
+        return cell if self.is_text else cell["value"]
+
+    def bad_of(self, cell: Column) -> Column:
+        """Whether a cell is neither blank nor readable."""
+        return F.lit(False) if self.is_text else cell["bad"]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -74,9 +82,8 @@ def coerce(
     if type_ not in SPARK_TYPES:
         raise ContractError(f"unknown type {type_!r}")
     if type_ == "string":
-        value = F.nullif(_string(text, kind), F.lit(""))
-        cell = F.struct(value.alias("value"), F.lit(False).alias("bad"))
-        return Coerced(cell, F.lit(None).cast("string"))
+        value = let(_string(text, kind), lambda t: F.nullif(t, F.lit("")))
+        return Coerced(value, F.lit(None).cast("string"), is_text=True)
     zone = F.lit(zone) if isinstance(zone, str) else zone
     rules = {
         "integer": lambda t: _integer(t, opts, kind),
