@@ -68,5 +68,12 @@ def since_lookback(stg: DataFrame, existing: DataFrame, lookback_days: int = 3)
     return stg if bound is None else stg.where(F.col("received_at") >= ntz(bound))
 
 
+def added_since(upstream: DataFrame, target: DataFrame | None, mark: str = "_loaded_at") -> DataFrame:
+    """Rows a model has not seen: loaded after its own high-water mark. A target that is absent
+    or empty has seen nothing."""
+    high = None if target is None else target.agg(F.max(mark).alias("h")).first()["h"]
+    return upstream if high is None else upstream.where(F.col("_loaded_at") > ntz(high))
+
+
 def work_order_events(events: DataFrame) -> DataFrame:
     return events.where(F.col("event_entity") == "work_order")

@@ -21,6 +21,10 @@ from ..config import SourceFormat
 from ..functions.text import is_blank, strip
 from ..session import workspace
 
+# Characters a record that spans lines may have. A stray quote would otherwise turn the rest of a
+# file, however large, into a single cell; such a file is reported instead.
+MAX_RECORD = 16 * 1024 * 1024
+
 # Python codec names as tenants configure them, and what Spark calls them.
 _CHARSETS = {
     "utf-8": "UTF-8",
@@ -122,8 +126,9 @@ def _number_lines(lines: DataFrame, d: str) -> tuple[DataFrame, DataFrame]:
     return numbered, per_file
 
 
-def _fold_quoted(lines: DataFrame, d: str) -> DataFrame:
-    """Lines of files with multi-line cells -> records, numbered by record.
+def _fold_quoted(lines: DataFrame, d: str) -> tuple[DataFrame, DataFrame]:
+    """Lines of files with multi-line cells -> records, numbered by record, and the files in which
+    a quote is opened and, to all appearances, never closed.
 
     Window groups are single splits, so they are bounded by the split size. The state at the
     start of a split follows from the composed maps of the splits before it.
@@ -181,12 +186,15 @@ def _fold_quoted(lines: DataFrame, d: str) -> DataFrame:
     numbered = staged.join(counts.drop("records"), in_block).withColumn(
         "record", F.col("records_before") + F.sum("starts").over(running)
     )
+    by_record = ["file_path", "record"]
+    sizes = numbered.groupBy(*by_record).agg(F.sum(F.length("line") + 1).alias("size"))
+    runaway = sizes.where(F.col("size") > MAX_RECORD).select("file_path").distinct()
+    whole = numbered.join(runaway, "file_path", "left_anti")
     pieces = F.transform(
         F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda p: p["line"]
     )
-    return numbered.groupBy("file_path", F.col("record").alias("source_row")).agg(
-        F.array_join(pieces, "\n").alias("text")
-    )
+    records = whole.groupBy(*by_record).agg(F.array_join(pieces, "\n").alias("text"))
+    return records.withColumnRenamed("record", "source_row"), runaway
 
 
 def _cells(text: Column, d: str, delimiter: str) -> Column:
@@ -225,7 +233,7 @@ def read_delimited(
     simple = lines.where(~F.col("multi")).select(
         "file_path", (F.col("line_no") + 1).alias("source_row"), F.col("line").alias("text")
     )
-    folded = _fold_quoted(lines.where("multi"), d)
+    folded, runaway = _fold_quoted(lines.where("multi"), d)
     cells = _cells(F.col("text"), d, fmt.delimiter)
     records = (
         simple.unionByName(folded)
@@ -244,11 +252,13 @@ def read_delimited(
         F.col("h.source_row").alias("header_at"),
         F.transform("h.cells", lambda c: strip(c)).alias("headers"),
     )
-    bad = per_file.where("bad").select(
-        "file_path",
-        plain_path("file_path").alias("path"),
-        F.lit(f"file isn't {fmt.encoding} encoded").alias("message"),
+    wrong = per_file.where("bad").select(
+        "file_path", F.lit(f"file isn't {fmt.encoding} encoded").alias("message")
     )
+    unclosed = runaway.select("file_path", F.lit("a quoted cell is never closed").alias("message"))
+    # A file may be both; the first message is enough.
+    bad = wrong.unionByName(unclosed).groupBy("file_path").agg(F.max("message").alias("message"))
+    bad = bad.withColumn("path", plain_path("file_path"))
     found = headers.select("path").unionByName(bad.select("path"))
     listed = spark.createDataFrame([(p,) for p in paths], "path string")
     empty = listed.join(found, same_path(listed["path"], found["path"]), "left_anti")

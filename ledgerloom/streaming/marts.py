@@ -35,6 +35,7 @@ from ..sources.uploads import RAW_EVENT_COLUMNS
 
 DAY = ["tenant_id", "event_date_local"]
 _BY_DAY = ["event_date_local"]
+MAX_PRUNED_DAYS = 1000
 
 
 class EventMarts:
@@ -180,6 +181,7 @@ class EventMarts:
         t.write("fct_work_orders", gen, _with_marks(orders, gone))
 
         days = touched.select(*DAY).distinct()
+        facts = _on_days(facts, days)
         daily = rpt_maintenance_daily(facts, days, run_ts).withColumn("_deleted", F.lit(False))
         gone = _without(days, self._touched_facts(facts, days, DAY), DAY)
         gone = gone.withColumnRenamed("event_date_local", "activity_date")
@@ -204,6 +206,15 @@ class EventMarts:
         return gen
 
 
+def _on_days(facts: DataFrame, days: DataFrame) -> DataFrame:
+    """Prune the scan to the partitions of the touched days. Dates are few even over years; beyond
+    the bound the join alone selects them."""
+    dates = days.select("event_date_local").distinct().limit(MAX_PRUNED_DAYS + 1).collect()
+    if len(dates) > MAX_PRUNED_DAYS:
+        return facts
+    return facts.where(F.col("event_date_local").isin([r["event_date_local"] for r in dates]))
+
+
 def _without(keys: DataFrame, found: DataFrame, on: list[str]) -> DataFrame:
     return keys.join(found, on, "left_anti")
 

@@ -11,7 +11,7 @@ from ledgerloom.functions.timeutil import ntz
 from ledgerloom.plans import events, facts, reporting, staging
 from ledgerloom.sources import uploads as up
 from ledgerloom.streaming.marts import EventMarts
-from ledgerloom.streaming.stream import start
+from ledgerloom.streaming.stream import start, thin_copies
 
 RAW = """event_id string, tenant_id string, device_id string, device_seq int, event_type string,
 occurred_at timestamp_ntz, received_at timestamp_ntz, upload_id string, payload string"""
@@ -177,3 +177,29 @@ def test_lookback_reads_everything_when_the_target_is_empty(spark):
     assert events.since_lookback(stg, stored.limit(0)).count() == stg.count()
     high = stored.agg(F.max("received_at")).first()[0] - dt.timedelta(days=3)
     assert events.since_lookback(stg, stored).count() == stg.where(F.col("received_at") >= ntz(high)).count()
+
+
+def test_high_water_mark(spark):
+    stg = staging.stg_app_events(spark.createDataFrame(season(9, 30), RAW))
+    old = events.dedupe_events(stg.where("device_seq < 10"), run_ts=dt.datetime(2024, 5, 1))
+    new = events.dedupe_events(stg.where("device_seq >= 10"), run_ts=dt.datetime(2024, 5, 2))
+    both = old.unionByName(new)
+    assert events.added_since(both, old).count() == new.count() == 20
+    assert events.added_since(both, old.limit(0)).count() == events.added_since(both, None).count() == 30
+
+
+def test_thinning_drops_copies_within_the_horizon(spark, tmp_path):
+    at = dt.datetime(2024, 1, 1)
+    rows = [("E1", "t", "d", 1, "x.y", at, at + dt.timedelta(hours=h), f"U{h}", "{}") for h in (0, 1, 2)]
+    spark.createDataFrame(rows, RAW).write.parquet(str(tmp_path / "in"))
+    copies = spark.readStream.schema(RAW).parquet(str(tmp_path / "in"))
+    query = (
+        thin_copies(copies)
+        .writeStream.format("memory")
+        .queryName("thinned")
+        .option("checkpointLocation", str(tmp_path / "ckpt"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination(120)
+    assert spark.table("thinned").count() == 1
