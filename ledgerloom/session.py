@@ -30,18 +30,22 @@ def build_session(app: str, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def workspace(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the shared folder named in ``spark.checkpoint.dir``.
-
-    Only a local-mode session may fall back to a temporary folder: on a cluster a
-    machine-local path is not visible to the executors.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, which all executors can reach. Only for a local
+    master, where all run on one machine, is it set here if it is not set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder every executor can reach")
-        base = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-"), "shared")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+        base = os.path.join(tempfile.gettempdir(), "checkpoints", f"ledgerloom-{uuid.uuid4().hex[:12]}")
+        spark.sparkContext.setCheckpointDir(base)
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
+
+
+def workspace(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder under the shared folder."""
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:

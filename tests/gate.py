@@ -20,7 +20,8 @@ TABLES = (
 def connect(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+        path = f"{sf_dir}/{t}.parquet"
+        con.execute(f"create view {t} as select * from '{path}/*.parquet'" if os.path.isdir(path) else f"create view {t} as select * from '{path}'")
     return con
 
 
