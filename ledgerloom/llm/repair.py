@@ -6,43 +6,50 @@ import numpy as np
 
 #: Rounds and pairs replaced in each. A round replaces its pairs together, the leftmost first where
 #: they overlap, instead of one pair at a time: what is coded decodes alike, with a few more symbols.
-ROUNDS, PAIRS, LEAST_COUNT = 3, 4096, 4
-SLOTS = 1 << 20
+ROUNDS, PAIRS, LEAST_COUNT = 2, 4096, 4
+SLOTS = 1 << 17
+
+
+def _frequent(codes: np.ndarray, pairs: int) -> np.ndarray:
+    ordered = np.sort(codes)
+    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    counts = np.diff(np.r_[starts, len(ordered)])
+    common = counts >= LEAST_COUNT
+    found, counts = ordered[starts[common]], counts[common]
+    if len(found) > pairs:
+        found = found[np.argpartition(-counts, pairs)[:pairs]]
+    return np.sort(found)
 
 
 def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIRS):
     """(symbols, rules, lengths): rules[k] is the pair that symbol base + k stands for, lengths[k] the
     number of ids it expands to. Ids must be below ``base``."""
-    symbols = np.array(ids, np.int64)
+    symbols = np.array(ids, np.int32)
     rules, lengths = [], np.zeros(0, np.int64)
     for _ in range(rounds):
         if len(symbols) < 2:
             break
-        codes = (symbols[:-1] << 32) | symbols[1:]
-        slots = _slot(symbols[:-1], symbols[1:])
-        # Of the pairs that share a slot one is counted, the others wait for a later round.
-        table = np.full(SLOTS, -1, np.int64)
-        table[slots] = codes
-        own = table[slots] == codes
-        counts = np.bincount(slots[own], minlength=SLOTS)
-        chosen = np.flatnonzero(counts >= LEAST_COUNT)
+        codes = symbols[:-1].astype(np.int64) << 32
+        codes |= symbols[1:]
+        chosen = _frequent(codes, pairs)
         if not len(chosen):
             break
-        if len(chosen) > pairs:
-            chosen = np.sort(chosen[np.argpartition(-counts[chosen], pairs)[:pairs]])
-        number = np.full(SLOTS, -1, np.int32)
-        number[chosen] = np.arange(len(chosen))
-        k = number[slots]
-        at = np.flatnonzero((k >= 0) & own)
-        k = k[at]
-        chosen = table[chosen]
+        # A small table by a hash finds most pairs that are not chosen; the rest are looked up exactly.
+        slots = _slot(symbols[:-1], symbols[1:])
+        maybe = np.zeros(SLOTS, bool)
+        maybe[_slot((chosen >> 32).astype(np.int32), chosen.astype(np.int32))] = True
+        at = np.flatnonzero(maybe[slots])
+        k = np.searchsorted(chosen, codes[at])
+        k[k == len(chosen)] = 0
+        hit = chosen[k] == codes[at]
+        at, k = at[hit], k[hit]
+        pair = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1)
         # Of neighbouring matches every second one is taken, from the left.
         opens = np.r_[True, at[1:] != at[:-1] + 1]
         first = np.maximum.accumulate(np.where(opens, np.arange(len(at)), 0))
         take = (np.arange(len(at)) - first) % 2 == 0
         at, k = at[take], k[take]
         known = base + sum(map(len, rules))
-        pair = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1)
         rules.append(pair)
         lengths = np.r_[lengths, _length(pair, lengths, base)]
         symbols[at] = known + k
@@ -54,8 +61,7 @@ def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIR
 
 
 def _slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    mixed = a.astype(np.uint32) * np.uint32(0x9E3779B1) + b.astype(np.uint32) * np.uint32(0x85EBCA6B)
-    return (mixed >> np.uint32(12)).astype(np.int64)
+    return ((a * np.int32(31)) ^ (b * np.int32(5923))) & np.int32(SLOTS - 1)
 
 
 def _length(pair: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
@@ -64,13 +70,14 @@ def _length(pair: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    out = np.asarray(symbols, np.int64)
+    out = np.asarray(symbols, np.int32)
+    rules = np.asarray(rules, np.int32)
     while True:
         inner = out >= base
         if not inner.any():
             return out
         at = np.cumsum(1 + inner) - 1
-        wider = np.empty(at[-1] + 1, np.int64)
+        wider = np.empty(at[-1] + 1, np.int32)
         wider[at[~inner]] = out[~inner]
         pair = rules[out[inner] - base]
         wider[at[inner] - 1], wider[at[inner]] = pair[:, 0], pair[:, 1]

@@ -7,6 +7,7 @@ is never cut.
 
 from __future__ import annotations
 
+import array
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,10 +23,11 @@ from . import repair
 
 #: Ids after which a shard ends with the document at hand.
 SHARD_IDS = 1 << 20
-#: Pieces whose ids a worker remembers; the memory starts anew when it is full.
-REMEMBERED = 600_000
+#: A worker remembers the ids of this many parts and then of as many that occur twice in a slice; after
+#: that the memory starts anew.
+REMEMBERED = 400_000
 #: Bytes of text encoded at a time; a longer text is encoded by itself.
-SLICE = 1 << 24
+SLICE = 1 << 23
 END_ID = 2
 FILE = (
     "range int, shard int, n_docs int, n_tokens bigint, base int, doc_ids array<bigint>, "
@@ -33,13 +35,31 @@ FILE = (
 )
 
 
+#: Stands in front of a part that has no space before it; texts that have it are encoded whole.
+_GLUE = "\x01"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level pre-tokenizers put for each byte: printing ones stand for themselves, the
+    others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+#: White space of any kind before a space or a line end, where the pre-tokenizer looks back.
+_LOOKS_BACK = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}][ \n]"
+_LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+
+
 class Encoder:
     """Texts to ids, the library's own for every text.
 
-    The pre-tokenizer never looks past a space that follows a character other than white space, so
-    that such a text may be cut before its spaces and every distinct piece be encoded once. Texts with
-    a space after white space, or with a string that the tokenizer treats as special, are given to it
-    whole. Pieces seen at least twice are remembered for the worker's later texts.
+    The pre-tokenizer always cuts before a space or a line end that follows a character other than
+    white space, and between a letter and one full stop or comma before white space. A text is cut there
+    and every distinct part encoded once by the library. Texts in which it would look back further, or
+    with a string that the tokenizer treats as special, are given to it whole. Parts seen at least twice
+    are remembered for the worker's later texts, rarer ones while there is room.
     """
 
     def __init__(self, path: str):
@@ -48,9 +68,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.base = self.tokenizer.get_vocab_size(with_added_tokens=True)
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"\s ", *special]))
-        self.bare = re.compile(r" [^\s\x00-\x1f]+")
-        self.mark = self._encode(["\n"])[0][0]
+        self.whole = "|".join([_LOOKS_BACK, _GLUE, *special])
+        # The tokenizer's model sees bytes as letters; which, it says itself.
+        self.letters = _byte_letters()
+        self.word = re.compile(rf" ?(?:{_LETTER}+|[.,])")
         self._forget()
 
     def _forget(self) -> None:
@@ -61,33 +82,33 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _pieces(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces, end to end, and their sizes.
-
-        Pieces that are a space and no other white space stand in one text with a line end before
-        each: it is a token of its own there, and no such piece has it."""
-        joined = [i for i, p in enumerate(new) if self.bare.fullmatch(p)]
-        flat = np.array(self._encode(["\n" + "\n".join([new[i] for i in joined])])[0] if joined else [], np.int32)
-        marks = np.flatnonzero(flat == self.mark)
-        if len(marks) != len(joined):
-            raise ValueError("the tokenizer does not keep line ends apart")
+        """Ids of the parts, end to end, and their sizes. A part that is one pre-token goes to the library's
+        model at once; others, such as those with digits, go through all of the tokenizer."""
+        word, of = self.word.fullmatch, self.tokenizer.model.tokenize
+        table, flat = self.letters, array.array("i")
         sizes = np.zeros(len(new), np.int64)
-        sizes[joined] = np.diff(np.r_[marks, len(flat)]) - 1
-        flat = flat[flat != self.mark]
-        rest = sorted(set(range(len(new))).difference(joined))
-        if not rest:
-            return flat, sizes
-        singles = self._encode([new[i] for i in rest])
+        rest = []
+        for i, part in enumerate(new):
+            if word(part):
+                ids = [t.id for t in of(part.encode().decode("latin-1").translate(table))]
+                flat.extend(ids)
+                sizes[i] = len(ids)
+            else:
+                rest.append(i)
+        flat = np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32)
         begins = np.cumsum(sizes) - sizes
         out, at = [], 0
-        for i, ids in zip(rest, singles):
+        for i, ids in zip(rest, self._encode([new[i] for i in rest]) if rest else []):
             out += [flat[at : begins[i]], np.array(ids, np.int32)]
             at, sizes[i] = begins[i], len(ids)
         return np.concatenate([*out, flat[at:]]), sizes
 
     def _places(self, pieces: list[str], often: np.ndarray) -> np.ndarray:
-        """For each distinct piece its place in a table of ids; the table is as long as needed."""
-        if len(self.known) > REMEMBERED:
+        """For each distinct part its place in a table of ids; the table is as long as needed."""
+        if len(self.known) > 2 * REMEMBERED:
             self._forget()
+        elif len(self.known) < REMEMBERED:
+            often = np.ones(len(pieces), bool)
         get = self.known.get
         at = np.fromiter((get(p, -1) for p in pieces), np.int64, len(pieces))
         new = np.flatnonzero(at < 0)
@@ -103,41 +124,48 @@ class Encoder:
         self.table, self.table_bounds = table, bounds
         return at
 
-    def __call__(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, end to end, and the number of each."""
-        odd = [i for i, t in enumerate(texts.to_pylist()) if self.whole.search(t)]
-        if odd:
-            plain = np.ones(len(texts), bool)
-            plain[odd] = False
-            sizes = np.zeros(len(texts), np.int64)
-            flat, sizes[plain] = self._plain(texts.filter(pa.array(plain))) if plain.any() else (np.zeros(0, np.int32), [])
-            begins = np.cumsum(sizes) - sizes
-            out, at = [], 0
-            for i, ids in zip(odd, self._encode([texts[i].as_py() for i in odd])):
-                out += [flat[at : begins[i]], np.array(ids, np.int32)]
-                at, sizes[i] = begins[i], len(ids)
-            return np.concatenate([*out, flat[at:]]), sizes
-        return self._plain(texts)
-
-    def _plain(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-        split = pc.split_pattern(texts, " ")
+        whole = pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._plain(texts)
+        odd = np.flatnonzero(whole).tolist()
+        sizes = np.zeros(len(texts), np.int64)
+        flat = np.zeros(0, np.int32)
+        if not whole.all():
+            flat, sizes[~whole] = self._plain(texts.filter(pa.array(~whole)))
+        begins = np.cumsum(sizes) - sizes
+        out, at = [], 0
+        for i, ids in zip(odd, self._encode([texts[i].as_py() for i in odd])):
+            out += [flat[at : begins[i]], np.array(ids, np.int32)]
+            at, sizes[i] = begins[i], len(ids)
+        return np.concatenate([*out, flat[at:]]), sizes
+
+    def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        apart = pc.replace_substring_regex(texts, rf"({_LETTER})([.,])(\s|$)", rf"\1 {_GLUE}\2\3")
+        apart = pc.replace_substring(apart, "\n", f" {_GLUE}\n {_GLUE}")
+        split = pc.split_pattern(apart, " ")
+        del apart
         starts = split.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
         coded = split.flatten().dictionary_encode()
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        # The first piece of a text has no space before it; the same letters with one are another piece.
+        del split
+        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
         names = coded.dictionary.to_pylist()
-        firsts, place = np.unique(index[starts[:-1] - starts[0]], return_inverse=True)
-        count = np.bincount(index, minlength=len(names))
-        at = self._places([" " + n for n in names] + [names[i] for i in firsts], np.r_[count > 1, np.zeros(len(firsts), bool)])
-        index = index.astype(np.int64)
-        index[starts[:-1] - starts[0]] = len(names) + place
-        at = at[index]
-        begin = self.table_bounds[at]
-        size = self.table_bounds[at + 1] - begin
-        ends = np.cumsum(size)
-        flat = self.table[np.repeat(begin - (ends - size), size) + np.arange(ends[-1])]
-        whole = np.r_[0, ends][starts - starts[0]]
-        return flat, np.diff(whole)
+        del coded
+        # The first part of a text has no space before it either.
+        opening = starts[:-1] - starts[0]
+        firsts, place = np.unique(index[opening], return_inverse=True)
+        often = np.bincount(index, minlength=len(names)) > 1
+        parts = [n[1:] if n[:1] == _GLUE else " " + n for n in names] + [names[i] for i in firsts]
+        at = self._places(parts, np.r_[often, np.zeros(len(firsts), bool)])
+        index[opening] = len(names) + place
+        begin = self.table_bounds[at].astype(np.int32)[index]
+        size = np.diff(self.table_bounds).astype(np.int32)[at][index]
+        ends = np.cumsum(size, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        where = np.repeat((begin - (ends - size)).astype(np.int32), size)
+        where += np.arange(total, dtype=np.int32)
+        return self.table[where], np.diff(np.r_[0, ends][starts - starts[0]])
 
 
 _encoders: dict[str, Encoder] = {}
