@@ -34,13 +34,17 @@ def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIR
         chosen = _frequent(codes, pairs)
         if not len(chosen):
             break
-        # A small table by a hash finds most pairs that are not chosen; the rest are looked up exactly.
+        # Pairs are found by a table over a hash; of chosen ones that fall together the last is taken.
         slots = _slot(symbols[:-1], symbols[1:])
-        maybe = np.zeros(SLOTS, bool)
-        maybe[_slot((chosen >> 32).astype(np.int32), chosen.astype(np.int32))] = True
-        at = np.flatnonzero(maybe[slots])
-        k = np.searchsorted(chosen, codes[at])
-        k[k == len(chosen)] = 0
+        number = np.full(SLOTS, -1, np.int32)
+        own = _slot((chosen >> 32).astype(np.int32), chosen.astype(np.int32))
+        number[own] = np.arange(len(chosen))
+        chosen = chosen[number[own] == np.arange(len(chosen))]
+        own = _slot((chosen >> 32).astype(np.int32), chosen.astype(np.int32))
+        number[own] = np.arange(len(chosen))
+        k = number[slots]
+        at = np.flatnonzero(k >= 0)
+        k = k[at]
         hit = chosen[k] == codes[at]
         at, k = at[hit], k[hit]
         pair = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1)
@@ -69,19 +73,34 @@ def _length(pair: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
     return of[np.maximum(pair - base + 1, 0)].sum(1)
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    out = np.asarray(symbols, np.int32)
-    rules = np.asarray(rules, np.int32)
-    while True:
-        inner = out >= base
-        if not inner.any():
-            return out
-        at = np.cumsum(1 + inner) - 1
-        wider = np.empty(at[-1] + 1, np.int32)
-        wider[at[~inner]] = out[~inner]
+def _expansions(rules: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rules' expansions, end to end, and where each begins and ends."""
+    out = base + np.arange(len(rules), dtype=np.int32)
+    owner = np.arange(len(rules))
+    while len(inner := np.flatnonzero(out >= base)):
+        counts = np.ones(len(out), np.int64)
+        counts[inner] = 2
         pair = rules[out[inner] - base]
-        wider[at[inner] - 1], wider[at[inner]] = pair[:, 0], pair[:, 1]
-        out = wider
+        out, owner = np.repeat(out, counts), np.repeat(owner, counts)
+        first = inner + np.arange(len(inner))
+        out[first], out[first + 1] = pair[:, 0], pair[:, 1]
+    return out, np.r_[0, np.cumsum(np.bincount(owner, minlength=len(rules)))]
+
+
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
+    """The ids that the symbols stand for."""
+    symbols = np.asarray(symbols, np.int32)
+    flat, bounds = _expansions(rules, base)
+    if not len(rules) or not len(symbols):
+        return symbols
+    # One table: the base ids, then the expansions.
+    table = np.r_[np.arange(base, dtype=np.int32), flat]
+    begin = np.r_[np.arange(base), base + bounds[:-1]].astype(np.int32)[symbols]
+    size = np.r_[np.ones(base), np.diff(bounds)].astype(np.int32)[symbols]
+    ends = np.cumsum(size, dtype=np.int32)
+    where = np.repeat(begin - (ends - size), size)
+    where += np.arange(len(where), dtype=np.int32)
+    return table[where]
 
 
 def slice_ids(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int, start: int, stop: int):

@@ -25,9 +25,9 @@ from . import repair
 SHARD_IDS = 1 << 20
 #: A worker remembers the ids of this many parts and then of as many that occur twice in a slice; after
 #: that the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Bytes of text encoded at a time; a longer text is encoded by itself.
-SLICE = 1 << 23
+SLICE = 1 << 22
 END_ID = 2
 FILE = (
     "range int, shard int, n_docs int, n_tokens bigint, base int, doc_ids array<bigint>, "
@@ -88,9 +88,17 @@ class Encoder:
         table, flat = self.letters, array.array("i")
         sizes = np.zeros(len(new), np.int64)
         rest = []
+        space = table[32]
         for i, part in enumerate(new):
-            if word(part):
-                ids = [t.id for t in of(part.encode().decode("latin-1").translate(table))]
+            letters = part.lstrip(" ")
+            if letters.isalpha() and letters.isascii():
+                seen = space + letters if len(letters) < len(part) else letters
+            elif word(part):
+                seen = part.encode().decode("latin-1").translate(table)
+            else:
+                seen = ""
+            if seen:
+                ids = [t.id for t in of(seen)]
                 flat.extend(ids)
                 sizes[i] = len(ids)
             else:
@@ -165,6 +173,7 @@ class Encoder:
         total = int(ends[-1]) if len(ends) else 0
         where = np.repeat((begin - (ends - size)).astype(np.int32), size)
         where += np.arange(total, dtype=np.int32)
+        pa.default_memory_pool().release_unused()
         return self.table[where], np.diff(np.r_[0, ends][starts - starts[0]])
 
 
