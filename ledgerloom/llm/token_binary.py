@@ -23,9 +23,9 @@ from . import repair
 
 #: Ids after which a shard ends with the document at hand.
 SHARD_IDS = 1 << 20
-#: A worker remembers the ids of this many parts and then of as many that occur twice in a slice; after
-#: that the memory starts anew.
-REMEMBERED = 300_000
+#: A worker remembers the ids of this many parts and then of half as many that occur twice in a slice;
+#: after that the memory starts anew.
+REMEMBERED = 600_000
 #: Bytes of text encoded at a time; a longer text is encoded by itself.
 SLICE = 1 << 22
 END_ID = 2
@@ -113,7 +113,7 @@ class Encoder:
 
     def _places(self, pieces: list[str], often: np.ndarray) -> np.ndarray:
         """For each distinct part its place in a table of ids; the table is as long as needed."""
-        if len(self.known) > 2 * REMEMBERED:
+        if len(self.known) > 1.5 * REMEMBERED:
             self._forget()
         elif len(self.known) < REMEMBERED:
             often = np.ones(len(pieces), bool)
@@ -158,7 +158,7 @@ class Encoder:
         coded = split.flatten().dictionary_encode()
         del split
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-        names = coded.dictionary.to_pylist()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
         del coded
         # The first part of a text has no space before it either.
         opening = starts[:-1] - starts[0]
@@ -258,22 +258,23 @@ def write_tokens(
     of a tokenizers file that every executor can read. Nothing but one shard and one slice of texts is
     held by a task. An empty table makes an empty file set."""
     rows = docs.select(F.col(id).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(F.col("id").asc_nulls_first(), F.col("text")).sortWithinPartitions(
+    # Rows of one id stay in one range, where their texts order them; the bounds come from ids alone.
+    ordered = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(
         F.col("id").asc_nulls_first(), "text"
     )
     ordered.mapInArrow(_encode_range(tokenizer, end_id, shard_ids), FILE).write.option("compression", "zstd").parquet(path)
 
 
-def _load(row: dict):
-    symbols = np.frombuffer(row["symbols"], f"<u{row['symbol_bytes']}").astype(np.int64)
-    rules = np.frombuffer(row["rules"], "<u4").astype(np.int64).reshape(-1, 2)
-    return symbols, rules, np.frombuffer(row["lengths"], "<u4").astype(np.int64)
+def _load(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    symbols = np.frombuffer(row["symbols"], f"<u{row['symbol_bytes']}").astype(np.int32)
+    return symbols, np.frombuffer(row["rules"], "<u4").astype(np.int32).reshape(-1, 2)
 
 
 def read_document(shard: dict, k: int) -> np.ndarray:
     """The ids of the k-th document of a shard row, without expanding the others."""
     ends = np.cumsum(shard["doc_tokens"])
-    symbols, rules, lengths = _load(shard)
+    symbols, rules = _load(shard)
+    lengths = np.frombuffer(shard["lengths"], "<u4").astype(np.int64)
     return repair.slice_ids(symbols, rules, lengths, shard["base"], int(ends[k] - shard["doc_tokens"][k]), int(ends[k]))
 
 
@@ -286,7 +287,7 @@ _READ_TYPE = pa.schema([
 def _read_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            symbols, rules, _ = _load(row)
+            symbols, rules = _load(row)
             flat = repair.expand(symbols, rules, row["base"]).astype("<u4")
             if len(flat) != row["n_tokens"]:
                 raise ValueError(f"shard {row['range']}/{row['shard']} is damaged")
@@ -295,7 +296,7 @@ def _read_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             crcs = [zlib.crc32(flat[b - n : b].tobytes()) for b, n in zip(ends, sizes)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(row["doc_ids"], pa.int64()), pa.array(row["first"] + ends - sizes), pa.array(sizes),
+                    pa.array(row["doc_ids"], pa.int64()), pa.array(ends - sizes), pa.array(sizes),
                     pa.array(crcs, pa.int64()), pa.array(np.full(len(sizes), row["range"], np.int32)),
                     pa.array(np.full(len(sizes), row["shard"], np.int32)),
                 ],
@@ -318,10 +319,12 @@ def read_tokens(spark: SparkSession, path: str, id: str = "doc_id") -> DataFrame
     firsts = sizes.withColumn("inner", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(ranges, "range").select(
         "range", "shard", (F.col("base_start") + F.col("inner")).alias("first")
     )
-    placed = shards.join(firsts, ["range", "shard"])
-    placed = placed.select("range", "shard", "n_tokens", "base", "doc_ids", "doc_tokens", "symbols", "symbol_bytes", "rules", "first")
-    placed = placed.withColumn("lengths", F.lit(b""))
-    out = placed.mapInArrow(
+    # Shards are decoded where they are read; only the documents' numbers meet the shards' places.
+    needed = shards.select("range", "shard", "n_tokens", "base", "doc_ids", "doc_tokens", "symbols", "symbol_bytes", "rules")
+    read = needed.mapInArrow(
         _read_shards, "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, range int, shard int"
     )
+    out = read.join(firsts, ["range", "shard"]).select(
+        "id", (F.col("first") + F.col("start")).alias("start"), "n_tokens", "ids_crc32", "range", "shard"
+    )
     return out.withColumnRenamed("id", id)
