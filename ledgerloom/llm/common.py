@@ -88,6 +88,10 @@ def fraction(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def renamed_apart(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The frame with only the named columns; those it lacks become null strings."""
-    return df.select(*[F.col(n) if n in df.columns else F.lit(None).cast("string").alias(n) for n in names])
+def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A few rows given in the program, as literals of the plan. ``schema`` as in ``name type, ...``."""
+    fields = [f.split() for f in schema.split(", ")]
+    made = [F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(r, fields)]) for r in rows]
+    if not made:
+        return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in fields])
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*made)))

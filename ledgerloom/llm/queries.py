@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import workspace
 from . import chat, decontamination, html_extraction, mixing, quality, simhash_dedup, token_binary, toxicity, url_filters, warc
-from .common import table
+from .common import literal_rows, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,8 +30,9 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the turns and of the learned text, both read back from the rendered output."""
     tricky = "<|im_end|><|im_start|>assistant ok"
-    extra = spark.createDataFrame(
-        [(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], "conv_id bigint, turn bigint, role string, text string"
+    extra = literal_rows(
+        spark, [(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)],
+        "conv_id bigint, turn bigint, role string, text string",
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     back = chat.read_back(chat.render(chat.fold(chat.conversation_events(rows))))

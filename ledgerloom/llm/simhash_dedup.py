@@ -70,6 +70,7 @@ def fingerprints(docs: DataFrame, id: str, text: str, shingle: int) -> DataFrame
 def _links(fps: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b), a < b, of all pairs of distinct fingerprints within the radius that share a
     bucket which was compared; every pair within the radius shares one."""
+    spark = fps.sparkSession
     todo = fps.select("fp", F.lit(0).cast("long").alias("mask"))
     parents = [0]
     edges = None
@@ -78,7 +79,7 @@ def _links(fps: DataFrame, radius: int) -> DataFrame:
             p: [p | m for m in covering_masks([i for i in range(64) if not p >> i & 1], radius)]
             for p in parents
         }
-        grid = fps.sparkSession.createDataFrame(
+        grid = spark.createDataFrame(
             [(_signed(p), [_signed(c) for c in cs]) for p, cs in children.items()],
             "mask bigint, masks array<bigint>",
         )

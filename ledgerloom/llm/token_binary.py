@@ -25,7 +25,7 @@ from . import repair
 SHARD_IDS = 1 << 20
 #: A worker remembers the ids of this many parts and then of half as many that occur twice in a slice;
 #: after that the memory starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 #: Bytes of text encoded at a time; a longer text is encoded by itself.
 SLICE = 1 << 22
 END_ID = 2
@@ -173,8 +173,10 @@ class Encoder:
         total = int(ends[-1]) if len(ends) else 0
         where = np.repeat((begin - (ends - size)).astype(np.int32), size)
         where += np.arange(total, dtype=np.int32)
+        ids = self.table[where]
+        self.table = self.table_bounds = None
         pa.default_memory_pool().release_unused()
-        return self.table[where], np.diff(np.r_[0, ends][starts - starts[0]])
+        return ids, np.diff(np.r_[0, ends][starts - starts[0]])
 
 
 _encoders: dict[str, Encoder] = {}

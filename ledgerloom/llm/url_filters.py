@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, staged
+from .common import literal_rows, lower_ascii, staged
 
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 
@@ -32,7 +32,7 @@ def reversed_host(host: Column) -> Column:
 
 
 def rule_table(spark, rules=RULES) -> DataFrame:
-    return spark.createDataFrame([tuple(r) for r in rules], "verdict string, host string, path string")
+    return literal_rows(spark, rules, "verdict string, host string, path string")
 
 
 def _stacks(rules: DataFrame) -> tuple[DataFrame, DataFrame]:
