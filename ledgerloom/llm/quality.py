@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged
+
 #: Labelled rows that the trees are fitted on, by the hash of their id; numbers only.
 SAMPLE = 20_000
 TREES, DEPTH, BINS, RATE, LEAST_ROWS, PENALTY = 60, 3, 32, 0.15, 20, 1.0
@@ -166,7 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     """Trees from labelled documents: a sample of SAMPLE rows by the hash of their id, of which only the
     statistics reach the driver. Rows of ``labels`` without id or label are left out."""
     known = labels.select(F.col(id).alias("id"), F.col(label).cast("double").alias("y")).dropna().distinct()
-    picked = known.orderBy(F.xxhash64("id"), "id", "y").limit(SAMPLE)
+    # Written, so that the planner knows how little it is and leaves the texts where they are.
+    picked = staged(known.orderBy(F.xxhash64("id"), "id", "y").limit(SAMPLE), "sample")
 
     @F.pandas_udf(_STATS)
     def stats(texts: pd.Series) -> pd.DataFrame:
