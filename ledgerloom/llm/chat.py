@@ -18,7 +18,8 @@ STOP = END + "\n"
 def fold(events: DataFrame, conv: str = "conv_id") -> DataFrame:
     """(conv, slot, role, text): the final messages of an event log.
 
-    Null texts are empty, null roles are taken from the slot's other events (the last that has one),
+    Null texts are empty, null roles are taken from the slot's other events (the last that
+    has one, taken back or not),
     a null kind is a message. Events of one slot with equal seq are ordered by kind, role and text;
     null seqs come first. A slot whose events were all taken back is gone. Rows that are equal in
     all columns count as often as they occur.
@@ -33,21 +34,21 @@ def fold(events: DataFrame, conv: str = "conv_id") -> DataFrame:
     )
     upto = Window.partitionBy("conv").orderBy("slot").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     rewound = F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).over(upto)
-    alive = log.withColumn("rewound", rewound).where("rewound is null or seq >= rewound")
-    slots = alive.groupBy("conv", "slot").agg(
-        F.max(F.when(F.col("kind") != "delta", F.col("seq"))).alias("since"),
-        F.array_sort(F.collect_list(F.struct("seq", "kind", "role", "text"))).alias("all"),
-    )
+    log = log.withColumn("rewound", rewound)
+    alive = F.col("rewound").isNull() | (F.col("seq") >= F.col("rewound"))
+    slots = log.groupBy("conv", "slot").agg(
+        F.max(F.when(alive & (F.col("kind") != "delta"), F.col("seq"))).alias("since"),
+        F.max(F.when(F.col("role").isNotNull(), F.struct("seq", "role"))).alias("named"),
+        F.array_sort(F.collect_list(F.when(alive, F.struct("seq", "kind", "role", "text")))).alias("all"),
+    ).where(F.size("all") > 0)
     # What counts is the last event that set the text and the deltas after it.
     sets = F.filter("all", lambda e: (e["kind"] != "delta") & e["seq"].eqNullSafe(F.col("since")))
     base = F.coalesce(F.element_at(F.transform(sets, lambda e: e["text"]), -1), F.lit(""))
     added = F.filter(
         "all", lambda e: (e["kind"] == "delta") & (F.col("since").isNull() | (e["seq"] >= F.col("since")))
     )
-    roles = F.filter(F.transform("all", lambda e: e["role"]), lambda r: r.isNotNull())
-    role = F.when(F.size(roles) > 0, F.element_at(roles, -1))
     text = F.concat(F.when(F.size(sets) > 0, base).otherwise(""), F.array_join(F.transform(added, lambda e: e["text"]), ""))
-    return slots.select("conv", "slot", F.coalesce(role, F.lit("")).alias("role"), text.alias("text"))
+    return slots.select("conv", "slot", F.coalesce("named.role", F.lit("")).alias("role"), text.alias("text"))
 
 
 def escape(text: Column) -> Column:

@@ -11,6 +11,7 @@ import array
 import re
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -20,15 +21,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import repair
+from .common import staged
 
 #: Ids after which a shard ends with the document at hand.
 SHARD_IDS = 1 << 20
 #: A worker remembers the ids of this many parts and then of half as many that occur twice in a slice;
 #: after that the memory starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 #: Bytes of text encoded at a time; a longer text is encoded by itself.
 SLICE = 1 << 22
 END_ID = 2
+#: Rows of the Arrow batches that are encoded and decoded.
+TEXTS_A_BATCH, SHARDS_A_BATCH = 1000, 4
 FILE = (
     "range int, shard int, n_docs int, n_tokens bigint, base int, doc_ids array<bigint>, "
     "doc_tokens array<int>, symbols binary, symbol_bytes int, rules binary, lengths binary"
@@ -264,7 +268,10 @@ def write_tokens(
     ordered = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(
         F.col("id").asc_nulls_first(), "text"
     )
-    ordered.mapInArrow(_encode_range(tokenizer, end_id, shard_ids), FILE).write.option("compression", "zstd").parquet(path)
+    with _rows_a_batch(docs.sparkSession, TEXTS_A_BATCH):
+        ordered.mapInArrow(_encode_range(tokenizer, end_id, shard_ids), FILE).write.option(
+            "compression", "zstd"
+        ).parquet(path)
 
 
 def _load(row: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -280,6 +287,18 @@ def read_document(shard: dict, k: int) -> np.ndarray:
     return repair.slice_ids(symbols, rules, lengths, shard["base"], int(ends[k] - shard["doc_tokens"][k]), int(ends[k]))
 
 
+@contextmanager
+def _rows_a_batch(spark: SparkSession, rows: int):
+    """Arrow batches of so many rows for the jobs that run inside: texts and shards are large rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 _READ_TYPE = pa.schema([
     ("id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()),
     ("range", pa.int32()), ("shard", pa.int32()),
@@ -323,9 +342,13 @@ def read_tokens(spark: SparkSession, path: str, id: str = "doc_id") -> DataFrame
     )
     # Shards are decoded where they are read; only the documents' numbers meet the shards' places.
     needed = shards.select("range", "shard", "n_tokens", "base", "doc_ids", "doc_tokens", "symbols", "symbol_bytes", "rules")
-    read = needed.mapInArrow(
-        _read_shards, "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, range int, shard int"
-    )
+    with _rows_a_batch(spark, SHARDS_A_BATCH):
+        read = staged(
+            needed.mapInArrow(
+                _read_shards, "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, range int, shard int"
+            ),
+            "decoded",
+        )
     out = read.join(firsts, ["range", "shard"]).select(
         "id", (F.col("first") + F.col("start")).alias("start"), "n_tokens", "ids_crc32", "range", "shard"
     )
