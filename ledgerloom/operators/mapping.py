@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import ParseOptions, Tenant
 from ..functions.text import normalize, normalize_py
 from ..sources.delimited import same_path
-from .lookup import salted_lookup
+from .lookup import lookup
 
 _SEP = "\u0001"
 
@@ -146,7 +146,7 @@ def map_columns(records: DataFrame, layouts: DataFrame) -> DataFrame:
     a translation pass through untouched so that a report can quote them.
     """
     typed = "kinds" in records.columns
-    rows = salted_lookup(records, layouts, ["file_path"], [F.col("source_row")], "inner")
+    rows = lookup(records, layouts, ["file_path"], "inner")
     raw = F.map_from_arrays("fields", F.transform("positions", lambda at: _cell("cells", at)))
     rows = rows.withColumn("raw", raw)
     if typed:

@@ -31,7 +31,7 @@ from ..operators.validate import (
     unreadable,
     validate,
 )
-from ..session import staged, workspace
+from ..session import staged
 from ..sources.cells import read_cells
 from ..sources.delimited import read_delimited, same_path
 from ..sources.files import discover, fingerprints, new_files
@@ -84,7 +84,7 @@ class Onboarding:
     # What is in the raw layer
 
     def _read(self, table: str, schema: str) -> DataFrame:
-        df = self.tables.read(table)
+        df = self.tables.read(table, schema=schema)
         return self.spark.createDataFrame([], schema) if df is None else df.drop("gen")
 
     def raw(self, feed: str) -> DataFrame:
@@ -175,7 +175,7 @@ class Onboarding:
         mapped = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
         layout = reduce(DataFrame.unionByName, layouts)
 
-        gen = self.tables.last() + 1
+        gen = self.tables.begin()
         accepted, held, checked, broken = [], [], {}, []
         for ref in sorted({t.feeds[feed].contract for t in tenants}):
             contract = self.registry.get(ref)
@@ -198,10 +198,10 @@ class Onboarding:
 
         bad = reduce(DataFrame.unionByName, errors)
         per_file = reduce(DataFrame.unionByName, broken)
-        batches = self._audit(gen, files, raw, now_held, per_file, bad, run_at)
+        batches = self._audit(feed, gen, files, raw, now_held, per_file, bad, run_at)
         self.tables.write("ingest_batches", gen, batches)
         if self.reports is not None:
-            self._report(feed, tenants, checked, self.tables.written("ingest_batches", gen))
+            self._report(feed, gen, tenants, checked, self.tables.written("ingest_batches", gen))
         self.tables.commit(gen, utc_now(), note=f"{feed} {run_at.isoformat()}")
 
     def _statuses(self, contract: Contract) -> dict[str, DataFrame]:
@@ -263,6 +263,7 @@ class Onboarding:
 
     def _audit(
         self,
+        feed: str,
         gen: int,
         files: DataFrame,
         raw: DataFrame,
@@ -285,9 +286,9 @@ class Onboarding:
         status = batch_status(rejected, F.col("rows_quarantined"))
         unmapped = F.coalesce("unmapped_columns", F.array().cast("array<string>"))
         wants_report = (status != "loaded") | (F.size(unmapped) > 0)
-        report = F.when(
-            F.lit(self.reports is not None) & wants_report, F.concat_ws("/", "tenant_id", "batch_id")
-        )
+        # The folder that _report writes for the batch, under the folder of reports.
+        folder = F.concat(F.lit(f"{feed}/gen={gen}/batches/tenant_id="), "tenant_id", F.lit("/batch_id="), "batch_id")
+        report = F.when(F.lit(self.reports is not None) & wants_report, folder)
         file_violations = F.when(
             F.col("message").isNotNull(), unreadable(F.col("message"))
         ).otherwise(F.coalesce("file_violations", F.array().cast(f"array<{VIOLATION}>")))
@@ -311,12 +312,13 @@ class Onboarding:
         )
 
     def _report(
-        self, feed: str, tenants: list[Tenant], checked: dict[str, DataFrame], batches: DataFrame
+        self, feed: str, gen: int, tenants: list[Tenant], checked: dict[str, DataFrame], batches: DataFrame
     ) -> None:
-        """Per-step report data: batch summaries, problem groups, and rows to fix per tenant."""
+        """Per-step report data: batch summaries, problem groups, and rows to fix per tenant. A repeated
+        step overwrites what it left."""
         wanted = needs_report(batches)
-        where = f"{self.reports}/{feed}/{workspace(self.spark, 'run').rsplit('-', 1)[-1]}"
-        wanted.write.mode("overwrite").json(f"{where}/batches")
+        where = f"{self.reports}/{feed}/gen={gen}"
+        wanted.write.mode("overwrite").partitionBy("tenant_id", "batch_id").json(f"{where}/batches")
         columns = ["tenant_id", "batch_id", "source_row", "violations"]
         rejected = [df.where(F.size("violations") > 0).select(*columns) for df in checked.values()]
         groups = violation_groups(reduce(DataFrame.unionByName, rejected))

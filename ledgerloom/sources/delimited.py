@@ -21,10 +21,6 @@ from ..config import SourceFormat
 from ..functions.text import is_blank, strip
 from ..session import workspace
 
-# Characters a record that spans lines may have. A stray quote would otherwise turn the rest of a
-# file, however large, into a single cell; such a file is reported instead.
-MAX_RECORD = 16 * 1024 * 1024
-
 # Python codec names as tenants configure them, and what Spark calls them.
 _CHARSETS = {
     "utf-8": "UTF-8",
@@ -128,7 +124,7 @@ def _number_lines(lines: DataFrame, d: str) -> tuple[DataFrame, DataFrame]:
 
 def _fold_quoted(lines: DataFrame, d: str) -> tuple[DataFrame, DataFrame]:
     """Lines of files with multi-line cells -> records, numbered by record, and the files in which
-    a quote is opened and, to all appearances, never closed.
+    a quote is opened and never closed.
 
     Window groups are single splits, so they are bounded by the split size. The state at the
     start of a split follows from the composed maps of the splits before it.
@@ -187,8 +183,10 @@ def _fold_quoted(lines: DataFrame, d: str) -> tuple[DataFrame, DataFrame]:
         "record", F.col("records_before") + F.sum("starts").over(running)
     )
     by_record = ["file_path", "record"]
-    sizes = numbered.groupBy(*by_record).agg(F.sum(F.length("line") + 1).alias("size"))
-    runaway = sizes.where(F.col("size") > MAX_RECORD).select("file_path").distinct()
+    # A quote that is still open after the last line has swallowed the rest of its file.
+    after = F.coalesce("const", (F.col("entry") + F.col("swap")) % 2)
+    ends = tail.join(entry, in_block).groupBy("file_path").agg(F.max_by(after, "block").alias("inside"))
+    runaway = ends.where("inside = 1").select("file_path")
     whole = numbered.join(runaway, "file_path", "left_anti")
     pieces = F.transform(
         F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda p: p["line"]

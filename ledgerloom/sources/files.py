@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from fnmatch import fnmatchcase
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Tenant
-from .delimited import literal_path, same_path
+from .delimited import literal_path, plain_path, same_path
 
 FILE_COLUMNS = (
     "tenant_id string, feed string, path string, source_file string, file_size bigint, "
@@ -52,20 +52,38 @@ def _paths(files: DataFrame) -> list[str]:
 
 
 def fingerprints(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """``files`` with ``file_sha256``. Files are hashed one per row by the ``binaryFile`` source;
-    a file beyond its 2 GB limit is identified by its path, size and modification time instead."""
-    limit = (1 << 31) - 1024
-    paths = _paths(files.where(F.col("file_size") < limit))
-    identity = F.sha2(F.concat_ws("|", "path", "file_size", F.unix_millis("modified_at")), 256)
+    """``files`` with ``file_sha256``, a digest of the content alone, at any size.
+
+    Files are scanned in splits, however large. Every line is hashed with its number in the file, by two
+    seeds; the sums of these and the file's size make up the digest, wherever the splits fall.
+    """
+    paths = _paths(files)
     if not paths:
-        return files.withColumn("file_sha256", identity)
+        return files.withColumn("file_sha256", F.lit(None).cast("string"))
+    lines = spark.read.text([literal_path(p) for p in paths]).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
+        F.col("value").cast("binary").alias("line"),
+    )
+    split = ["file_path", "block"]
+    blocks = lines.groupBy(*split).agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begins = blocks.select(*split, "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    number = F.col("before") + F.col("pos") - F.col("first")
+
+    def total(seed: int) -> Column:
+        return F.sum(F.xxhash64(F.lit(seed), number, "line").cast("decimal(20,0)"))
+
     hashed = (
-        spark.read.format("binaryFile")
-        .load([literal_path(p) for p in paths])
-        .select(F.col("path").alias("__path"), F.sha2("content", 256).alias("sha"))
+        lines.join(begins, split)
+        .groupBy("file_path")
+        .agg(F.concat_ws("|", F.count(F.lit(1)), total(1), total(2)).alias("content"))
+        .select(plain_path("file_path").alias("__path"), "content")
     )
     joined = files.join(hashed, same_path(files["path"], hashed["__path"]), "left")
-    return joined.withColumn("file_sha256", F.coalesce("sha", identity)).drop("sha", "__path")
+    whole = F.concat_ws("|", "file_size", F.coalesce("content", F.lit("")))
+    return joined.withColumn("file_sha256", F.sha2(whole, 256)).drop("content", "__path")
 
 
 def new_files(files: DataFrame, batches: DataFrame | None) -> DataFrame:

@@ -1,8 +1,8 @@
 """Append-only parquet tables whose writes become visible together.
 
 Each run writes its rows for every table under ``gen=<n>`` and finishes with one small commit
-row. Readers only look at committed generations, so a run that died half way is invisible, and
-the run that follows it simply overwrites the same generation. One writer at a time.
+row that names the tables it wrote. Readers only look at what a commit names, so that what a run
+that died half way left behind stays invisible, whichever run takes its number. One writer at a time.
 """
 
 from __future__ import annotations
@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GEN = "gen"
+COMMIT = "gen int, base int, note string, at timestamp_ntz, tables array<string>"
 
 
 class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._written: set[str] = set()
 
     def _exists(self, path: str) -> bool:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -29,13 +31,17 @@ class Tables:
         path = f"{self.root}/_commits"
         if not self._exists(path):
             return []
-        schema = "gen int, base int, note string, at timestamp_ntz"
-        return self.spark.read.schema(schema).parquet(path).orderBy("gen").collect()
+        return self.spark.read.schema(COMMIT).parquet(path).orderBy("gen").collect()
 
     def last(self) -> int:
         commits = self._commits()
         return commits[-1]["gen"] if commits else 0
 
+    def begin(self) -> int:
+        """The generation of a new run, which has written nothing yet."""
+        self._written = set()
+        return self.last() + 1
+
     def base(self) -> int:
         return max((c["base"] for c in self._commits()), default=0)
 
@@ -50,15 +56,17 @@ class Tables:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.root}/{table}/{GEN}={gen}")
+        self._written.add(table)
 
     def commit(self, gen: int, at: dt.datetime, note: str = "", base: int = 0) -> None:
-        row = [(gen, base, note, at)]
-        schema = "gen int, base int, note string, at timestamp_ntz"
-        df = self.spark.createDataFrame(row, schema)
+        df = self.spark.createDataFrame([(gen, base, note, at, sorted(self._written))], COMMIT)
         df.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
 
-    def read(self, table: str, since: int = 0, history: bool = False) -> DataFrame | None:
-        """Committed rows with their ``gen``, or None if there are none.
+    def read(
+        self, table: str, since: int = 0, history: bool = False, schema: str | None = None
+    ) -> DataFrame | None:
+        """Committed rows with their ``gen``, or None if there are none. With ``schema``, columns that
+        older files lack are null.
 
         ``since`` excludes older generations. A compacted generation replaces those before it;
         ``history`` reads them all, for logs that are only ever appended to.
@@ -68,11 +76,13 @@ class Tables:
             return None
         base = 0 if history else max(c["base"] for c in commits)
         low = max(base, since)
-        gens = [c["gen"] for c in commits if c["gen"] >= low]
-        paths = [p for p in (f"{self.root}/{table}/{GEN}={g}" for g in gens) if self._exists(p)]
+        paths = [f"{self.root}/{table}/{GEN}={c['gen']}" for c in commits if c["gen"] >= low and table in c["tables"]]
         if not paths:
             return None
-        return self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths)
+        reader = self.spark.read.option("basePath", f"{self.root}/{table}")
+        if schema:
+            reader = reader.schema(f"{schema}, {GEN} int")
+        return reader.parquet(*paths)
 
     def written(self, table: str, gen: int) -> DataFrame:
         """What this run wrote for a table, before its commit: reading it back cuts the lineage."""

@@ -35,7 +35,6 @@ from ..sources.uploads import RAW_EVENT_COLUMNS
 
 DAY = ["tenant_id", "event_date_local"]
 _BY_DAY = ["event_date_local"]
-MAX_PRUNED_DAYS = 1000
 
 
 class EventMarts:
@@ -107,7 +106,7 @@ class EventMarts:
         """
         if note and note in self.tables.notes():
             return self.tables.last()
-        run_ts, gen, t = run_ts or utc_now(), self.tables.last() + 1, self.tables
+        run_ts, gen, t = run_ts or utc_now(), self.tables.begin(), self.tables
 
         t.write("landed", gen, copies.select(*RAW_EVENT_COLUMNS))
         landed = t.written("landed", gen)
@@ -194,7 +193,7 @@ class EventMarts:
     def compact(self, run_ts: dt.datetime | None = None) -> int:
         """Write the current state as one generation that replaces those before it."""
         t, run_ts = self.tables, run_ts or utc_now()
-        gen = t.last() + 1
+        gen = t.begin()
         live = F.lit(False).alias("_deleted")
         t.write("events", gen, self.events())
         t.write("fct_maintenance_events", gen, self.maintenance_events(), _BY_DAY)
@@ -207,12 +206,11 @@ class EventMarts:
 
 
 def _on_days(facts: DataFrame, days: DataFrame) -> DataFrame:
-    """Prune the scan to the partitions of the touched days. Dates are few even over years; beyond
-    the bound the join alone selects them."""
-    dates = days.select("event_date_local").distinct().limit(MAX_PRUNED_DAYS + 1).collect()
-    if len(dates) > MAX_PRUNED_DAYS:
-        return facts
-    return facts.where(F.col("event_date_local").isin([r["event_date_local"] for r in dates]))
+    """Prune the scan to the partitions between the first and the last touched day; the join that
+    follows selects the days themselves. Two dates reach the driver."""
+    day = F.col("event_date_local")
+    first, last = days.agg(F.min(day), F.max(day)).first()
+    return facts.where(day.between(F.lit(first), F.lit(last)))
 
 
 def _without(keys: DataFrame, found: DataFrame, on: list[str]) -> DataFrame:

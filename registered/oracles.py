@@ -225,12 +225,14 @@ oracle(
 )
 oracle(
     "maintenance_by_calendar",
-    """select cast(extract(year from event_date_local) as int) as year,
-       cast(extract(month from event_date_local) as int) as month,
-       cast(extract(dow from event_date_local) as int) as day_of_week,
-       extract(dow from event_date_local) in (0, 6) as is_weekend, count(*) as events,
+    """select cast(extract(year from day) as int) as year,
+       cast(extract(month from day) as int) as month,
+       cast(extract(dow from day) as int) as day_of_week,
+       extract(dow from day) in (0, 6) as is_weekend, count(*) as events,
        cast(sum(labor_minutes) as bigint) as labor_minutes
-       from fct where event_date_local >= date '2024-01-01' group by 1, 2, 3, 4""",
+       from (select labor_minutes,
+               case when event_date_local >= date '2024-01-01' then event_date_local end as day from fct)
+       group by 1, 2, 3, 4""",
     "fct",
 )
 oracle(
@@ -320,7 +322,8 @@ oracle(
 )
 oracle(
     "check_accepted_range",
-    "select building_code, capacity from raw_buildings where capacity < 10", "raw_buildings",
+    """select 'SUP-' || s_suppkey as building_code, cast(s_suppkey as int) as capacity
+       from supplier where s_suppkey < 10""",
 )
 
 oracle(

@@ -22,7 +22,7 @@ from ledgerloom.session import staged, workspace
 from ledgerloom.streaming.marts import EventMarts
 from ledgerloom.streaming.stream import start
 
-from .views import spark_sql, spread, table, view
+from .views import spark_sql, table, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -56,7 +56,7 @@ def _tenants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stg(spark: SparkSession, d: str) -> DataFrame:
-    raw = spread(view(spark, d, "raw_app_events"), table(spark, d, "events"))
+    raw = view(spark, d, "raw_app_events")
     return staging.stg_app_events(raw)
 
 
@@ -128,11 +128,12 @@ def dim_staff(spark, d):
 
 @query
 def maintenance_by_calendar(spark, d):
-    """The date dimension joined to the event fact on the tenant-local day."""
+    """The date dimension joined to the event fact on the tenant-local day; events outside the
+    calendar are kept without its attributes."""
     days = dims.dim_date(spark, AS_OF.date())
     return (
         _fct(spark, d)
-        .join(days, F.col("event_date_local") == F.col("date_day"))
+        .join(days, F.col("event_date_local") == F.col("date_day"), "left")
         .groupBy("year", "month", "day_of_week", "is_weekend")
         .agg(F.count(F.lit(1)).alias("events"), F.sum("labor_minutes").alias("labor_minutes"))
     )
@@ -229,7 +230,11 @@ def check_accepted_values(spark, d):
 
 @query
 def check_accepted_range(spark, d):
-    failures = checks.accepted_range(view(spark, d, "raw_buildings"), "capacity", min_value=10)
+    every = table(spark, d, "supplier").select(
+        F.concat(F.lit("SUP-"), F.col("s_suppkey").cast("string")).alias("building_code"),
+        F.col("s_suppkey").cast("int").alias("capacity"),
+    )
+    failures = checks.accepted_range(every, "capacity", min_value=10)
     return failures.select("building_code", "capacity")
 
 
@@ -246,7 +251,7 @@ def _coerced(df: DataFrame, text: str, type_: str, keys: list[str], zone: str =
 @query
 def coerce_decimal(spark, d):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"]
-    texts = spread(view(spark, d, "amount_texts"), table(spark, d, "lineitem"))
+    texts = view(spark, d, "amount_texts")
     return _coerced(texts, "amount", "decimal", keys)
 
 
@@ -324,7 +329,7 @@ SALES = contracts.registry().get("commissary_transactions@1")
 
 
 def _sales_rows(spark: SparkSession, d: str) -> DataFrame:
-    texts = spread(view(spark, d, "sales_texts"), table(spark, d, "lineitem"))
+    texts = view(spark, d, "sales_texts")
     fields = [F.lit(n) for n in SALES.fields]
     labels = F.map_from_arrays(F.array(*fields), F.array(*fields))
     missing = F.when(F.col("lacks_payment"), F.array(F.lit("payment_method"))).otherwise(

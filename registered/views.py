@@ -210,13 +210,6 @@ def spark_sql(spark: SparkSession, sf_dir: str, sql: str, **views: DataFrame) ->
     return out.withColumns(casts) if casts else out
 
 
-def spread(df: DataFrame, scan: DataFrame) -> DataFrame:
-    """Share per-row work among the cores when the table is so few row groups that its scan
-    cannot. A table of real size has more splits than cores and is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df
-
-
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = VIEWS[name]
     inner = {v: view(spark, sf_dir, v) for v in VIEWS if "{" + v + "}" in sql}

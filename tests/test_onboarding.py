@@ -2,14 +2,20 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from onboarding_fixture import ROUND_1, ROUND_2, TENANTS, write, write_sheet
 
+from pyspark.sql import functions as F
+
 from ledgerloom.config import lint
 from ledgerloom.contracts import registry
 from ledgerloom.plans import monitoring, staging
+from ledgerloom.operators.reports import write_rows_to_fix
 from ledgerloom.plans.onboarding import Onboarding
+from ledgerloom.sources.files import fingerprints
+from ledgerloom.sources.tables import Tables
 
 RUN_1, RUN_2 = dt.datetime(2024, 7, 6, 12), dt.datetime(2024, 7, 7, 12)
 
@@ -45,7 +51,7 @@ def test_configuration_is_clean():
     assert lint(registry(), TENANTS) == []
 
 
-def test_every_file_is_accounted_for(first):
+def test_every_file_is_accounted_for(first, job):
     assert {n: (r.status, r.rows_loaded, r.rows_quarantined) for n, r in first.items()} == {
         "Facilities 1.csv": ("loaded_with_errors", 2, 3),
         "Roster.csv": ("loaded_with_errors", 1, 2),
@@ -57,7 +63,7 @@ def test_every_file_is_accounted_for(first):
         "equipements.csv": ("loaded_with_errors", 1, 3),
     }
     assert first["Facilities 1.csv"].unmapped_columns == ["Notes"]
-    assert all(r.report_path for r in first.values())
+    assert all(r.report_path and os.path.isdir(f"{job.reports}/{r.report_path}") for r in first.values())
 
 
 def test_what_is_held_and_why(first, job):
@@ -166,3 +172,61 @@ def test_a_run_that_died_is_repeated(spark, tmp_path):
     job.tables.commit = commit
     assert [r.rows_loaded for r in job.ingest(str(landing), None, RUN_1).collect()] == [1]
     assert (job.raw("buildings").count(), job.quarantine().count()) == (1, 1)
+
+
+def test_what_a_dead_run_left_stays_invisible(spark, tmp_path):
+    """The dead run had written assets; the repeat gives its number to a feed that loads earlier."""
+    landing = tmp_path / "landing"
+    write(landing, {k: v for k, v in ROUND_1.items() if "equipements" in k}, 1_700_000_000)
+    write(landing, {k: v for k, v in ROUND_1.items() if "batiments" in k}, 1_700_000_100)
+    waiting = landing / "fleuve" / "batiments.csv"
+    later = waiting.read_bytes()
+    waiting.unlink()
+    job = Onboarding(spark, str(tmp_path / "raw"), registry(), TENANTS)
+    commit, job.tables.commit = job.tables.commit, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost"))
+    with pytest.raises(RuntimeError):
+        job.ingest(str(landing), None, RUN_1)
+    job.tables.commit = commit
+    waiting.write_bytes(later)
+    job.ingest(str(landing), None, RUN_2).collect()
+    audit = {r.feed: r.rows_loaded for r in job.batches().collect()}
+    assert set(audit) == {"buildings", "assets"}
+    for feed, loaded in audit.items():
+        assert job.raw(feed).count() == loaded, feed
+    keys = [(r.batch_id, r.source_row) for r in job.quarantine().collect()]
+    assert len(keys) == len(set(keys))
+
+
+def test_a_commit_shows_only_the_tables_of_its_run(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    gen = tables.begin()
+    tables.write("stale", gen, spark.range(3))
+    gen = tables.begin()
+    tables.write("fresh", gen, spark.range(2))
+    tables.commit(gen, RUN_1)
+    assert tables.read("stale") is None and tables.read("fresh").count() == 2
+    gen = tables.begin()
+    tables.write("fresh", gen, spark.range(4).withColumn("more", F.lit("x")))
+    tables.commit(gen, RUN_2)
+    assert sorted(str(r.more) for r in tables.read("fresh", schema="id bigint, more string").collect()) == ["None"] * 2 + ["x"] * 4
+
+
+def test_fingerprints_follow_content_alone(spark, tmp_path):
+    texts = {"a": "x\ny\n" * 40_000, "b": "x\ny\n" * 40_000, "c": "y\nx\n" * 40_000, "d": "", "e": "x\ny\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    files = spark.createDataFrame([(str(tmp_path / n), len(t)) for n, t in texts.items()], "path string, file_size bigint")
+    seen = []
+    for split in ("128m", "10k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        seen.append({r.path[-1]: r.file_sha256 for r in fingerprints(spark, files).collect()})
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert seen[0] == seen[1] and seen[0]["a"] == seen[0]["b"]
+    assert len(set(seen[0].values())) == 4
+
+
+def test_rows_to_fix_are_written_as_they_are(spark, tmp_path):
+    rows = spark.createDataFrame([("b1", 2, " a ", 'say "x"')], "batch_id string, `Row in your file` bigint, Name string, Fix string")
+    write_rows_to_fix(rows, str(tmp_path / "out"))
+    (part,) = (tmp_path / "out" / "batch_id=b1").glob("*.csv")
+    assert part.read_bytes().decode("utf-8") == '\ufeffRow in your file,Name,Fix\n2, a ,"say ""x"""\n'
