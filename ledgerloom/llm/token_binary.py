@@ -12,6 +12,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -121,8 +122,7 @@ class Encoder:
             self._forget()
         elif len(self.known) < REMEMBERED:
             often = np.ones(len(pieces), bool)
-        get = self.known.get
-        at = np.fromiter((get(p, -1) for p in pieces), np.int64, len(pieces))
+        at = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
         new = np.flatnonzero(at < 0)
         new = new[np.argsort(~often[new], kind="stable")]  # those to remember come first
         flat, sizes = self._pieces([pieces[i] for i in new])
@@ -179,7 +179,6 @@ class Encoder:
         where += np.arange(total, dtype=np.int32)
         ids = self.table[where]
         self.table = self.table_bounds = None
-        pa.default_memory_pool().release_unused()
         return ids, np.diff(np.r_[0, ends][starts - starts[0]])
 
 
@@ -250,6 +249,7 @@ def _encode_range(tokenizer: str, end_id: int, shard_ids: int):
                         number += 1
         if held:
             yield flush()
+        pa.default_memory_pool().release_unused()
 
     return run
 
