@@ -13,7 +13,7 @@ from ledgerloom.functions.text import normalize, normalize_py
 from ledgerloom.functions.timeutil import boundaries_between, local_date
 from ledgerloom.operators import access, checks, quarantine
 from ledgerloom.operators.dedupe import best_per_key, latest_per_key
-from ledgerloom.operators.lookup import salted_lookup
+from ledgerloom.operators.lookup import lookup
 from ledgerloom.operators.mapping import config_frame, file_layouts, map_columns
 from ledgerloom.operators.upgrade import upgrade
 from ledgerloom.plans import dims, facts, monitoring, reporting, staging
@@ -69,12 +69,12 @@ def test_latest_version_and_map_side_limit(spark):
     assert "row_number(), 1, Partial" in plan and "row_number(), 1, Final" in plan
 
 
-def test_salted_lookup_keeps_every_row(spark):
+def test_lookup_keeps_every_row(spark):
     rows = spark.range(1000).select(F.lit("hot").alias("k"), "id").unionByName(
         spark.createDataFrame([(None, 5000), ("cold", 5001)], "k string, id bigint")
     )
     unique = spark.createDataFrame([("hot", 1), ("other", 2)], "k string, v int")
-    out = salted_lookup(rows, unique, ["k"], [F.col("id")])
+    out = lookup(rows, unique, ["k"])
     assert out.count() == 1002 and out.where("v = 1").count() == 1000
 
 
