@@ -1,6 +1,6 @@
-"""Toxicity by compression distance: two zstandard dictionaries, one of ordinary text and one of
-ordinary text and what is typical of toxic documents; windows of a text that the second shortens more
-speak for toxicity."""
+"""Toxicity by compression distance: two zstandard dictionaries, one trained on ordinary text and one on
+toxic text; windows of a text that the second shortens more speak for toxicity. In addition, what lists
+of the words typical of toxic documents shorten in narrower windows."""
 
 from __future__ import annotations
 
@@ -22,8 +22,11 @@ from .common import private
 #: longest text taken into it.
 SAMPLE = {1: 2000, 0: 4000}
 SAMPLE_CHARS = 200_000
-#: Bytes of a window and from one to the next, of the dictionaries' shared and own parts.
-WINDOW, STEP, SHARED, OWN = 36, 22, 4096, 192
+#: Bytes of each trained dictionary and of the windows that the two are compared on.
+TRAINED, WIDE = 8192, 512
+#: The word lists: bytes of a window and from one to the next, of the ordinary text both sides know, and
+#: of the strongest words, which are also compared by themselves. The list of all words has no limit.
+WINDOW, STEP, SHARED, STRONGEST = 36, 22, 4096, 192
 #: Least log-likelihood ratio of a word start to count as typical.
 TYPICAL = 8.0
 THRESHOLD = 0.3
@@ -86,58 +89,82 @@ def _typical(toxic: list[str], ordinary: list[str]) -> list[str]:
     return chosen
 
 
-def _joined(parts: list[str], size: int) -> bytes:
-    """Strongest last, where a match is cheapest to name."""
-    out = b""
+def _joined(parts: list[str], size: int | None = None) -> bytes:
+    """Strongest last, where a match is cheapest to name; all parts, or those that fit a size."""
+    out, length = [], 0
     for p in parts:
-        piece = (" " + p).encode()
-        if len(out) + len(piece) <= size:
-            out = piece + out
-    return out
+        piece = (" " + p).encode("utf-8", "surrogatepass")
+        if size is None or length + len(piece) <= size:
+            out.append(piece)
+            length += len(piece)
+    return b"".join(reversed(out))
+
+
+def _trained(texts: list[str], size: int) -> bytes:
+    samples = [w for t in texts for w in _windows(t.encode("utf-8", "surrogatepass"), 512, 512)]
+    try:
+        return zstd.train_dictionary(2 * size, samples, k=64, d=8, level=3).as_bytes()[-size:]
+    except zstd.ZstdError:  # too little text to train on
+        return b" ".join(samples)[-size:]
+
+
+def _compressor(known: bytes):
+    """All of ``known`` can be matched, whatever its size."""
+    log = max(13, (len(known) + WIDE).bit_length())
+    params = zstd.ZstdCompressionParameters(
+        window_log=log, hash_log=log - 1, chain_log=log - 1, search_log=6, min_match=5, target_length=64,
+        strategy=zstd.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0,
+        format=zstd.FORMAT_ZSTD1_MAGICLESS,
+    )
+    return zstd.ZstdCompressor(
+        compression_params=params, dict_data=zstd.ZstdCompressionDict(known, dict_type=zstd.DICT_TYPE_RAWCONTENT)
+    ).compress
+
+
+def _listed(gains: np.ndarray) -> tuple:
+    """Statistics of the gains by a word list."""
+    over, n = np.clip(gains - 1, 0, None).sum(), len(gains)
+    strong, stronger = (gains >= 3).sum(), (gains >= 5).sum()
+    return (
+        min(gains.max(), 12), math.log1p(over), math.log1p(strong), over / n**0.5, over / n, gains.mean(), math.log(n),
+        math.log1p(stronger), stronger / n**0.5, strong / n,
+    )
 
 
 @dataclass
 class ToxicityModel:
+    #: Trained on text of the two classes.
     ordinary: bytes
     toxic: bytes
+    #: Ordinary text and ordinary words; the strongest typical words in their place; all typical words.
+    plain: bytes
+    strongest: bytes
+    all_words: bytes
     opening: bytes
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
 
     #: Statistics of a text's gains.
-    FEATURES = 10
-
-    def _compressors(self):
-        params = zstd.ZstdCompressionParameters(
-            window_log=13, hash_log=12, chain_log=12, search_log=6, min_match=5, target_length=64,
-            strategy=zstd.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0,
-            format=zstd.FORMAT_ZSTD1_MAGICLESS,
-        )
-        return [
-            zstd.ZstdCompressor(
-                compression_params=params,
-                dict_data=zstd.ZstdCompressionDict(d, dict_type=zstd.DICT_TYPE_RAWCONTENT),
-            ).compress
-            for d in (self.ordinary, self.toxic)
-        ]
-
-    def gains(self, text: str, plain, toxic) -> np.ndarray:
-        """Bytes that each window of the whole text is shorter with the toxic dictionary. Windows open
-        with a stretch both know, without which zstandard stores short ones as they are."""
-        data, start = text.lower().encode("utf-8", "surrogatepass"), self.opening
-        return np.array([len(plain(start + w)) - len(toxic(start + w)) for w in _windows(data, WINDOW, STEP)], float)
+    FEATURES = 24
 
     def features(self, texts: list[str]) -> np.ndarray:
-        plain, toxic = self._compressors()
+        """Statistics of the bytes by which every window of the whole text is shorter with the toxic
+        dictionary, the strongest words, and all typical words. Narrow windows open with a stretch that
+        all lists know, without which zstandard stores short ones as they are."""
+        ordinary, toxic, plain, strongest, all_words = map(
+            _compressor, (self.ordinary, self.toxic, self.plain, self.strongest, self.all_words)
+        )
         rows = np.zeros((len(texts), self.FEATURES))
         for i, text in enumerate(texts):
-            g = self.gains(text, plain, toxic)
-            over, n = np.clip(g - 1, 0, None).sum(), len(g)
-            strong, stronger = (g >= 3).sum(), (g >= 5).sum()
+            data = text.lower().encode("utf-8", "surrogatepass")
+            g = np.array([len(ordinary(w)) - len(toxic(w)) for w in _windows(data, WIDE, WIDE)], float)
+            narrow = [self.opening + w for w in _windows(data, WINDOW, STEP)]
+            size = np.array([len(plain(w)) for w in narrow], float)
             rows[i] = (
-                min(g.max(), 12), math.log1p(over), math.log1p(strong), over / n**0.5, over / n, g.mean(), math.log(n),
-                math.log1p(stronger), stronger / n**0.5, strong / n,
+                g.max(), g.mean(), g.min(), g.sum() / len(g) ** 0.5,
+                *_listed(size - [len(strongest(w)) for w in narrow]),
+                *_listed(size - [len(all_words(w)) for w in narrow]),
             )
         return rows
 
@@ -158,26 +185,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int =
 
 
 def fit_texts(toxic: list[str], ordinary: list[str]) -> ToxicityModel:
-    """A model from texts of the two classes: the dictionaries from all that are not near copies of each
-    other, the weights of the windows' gains from all. With less than six texts of a class the score is
+    """A model from texts of the two classes: the dictionaries and lists from all that are not near copies
+    of each other, the weights of the windows' gains from all. With less than six texts of a class the score is
     the share of toxic ones, whatever the text."""
     n = ToxicityModel.FEATURES
-    blank = ToxicityModel(b" " * 64, b" " * 64, b"", np.zeros(n), np.ones(n), np.zeros(n + 1))
+    blank = ToxicityModel(*[b" " * 64] * 5, b"", np.zeros(n), np.ones(n), np.zeros(n + 1))
     if min(len(toxic), len(ordinary)) < 6:
         share = len(toxic) / max(1, len(toxic) + len(ordinary))
         blank.weights[0] = math.log(max(share, 1e-9) / max(1 - share, 1e-9))
         return blank
     make = [_distinct([t.lower() for t in c]) for c in (toxic, ordinary)]
     usual, there = (Counter(w for t in make[k] for w in set(_WORDS.findall(t))) for k in (1, 0))
-    samples = [w for t in make[1] for w in _windows(t.encode("utf-8", "surrogatepass"), 512, 512)]
-    try:
-        shared = zstd.train_dictionary(2 * SHARED, samples, k=64, d=8, level=3).as_bytes()[-SHARED:]
-    except zstd.ZstdError:  # too little text to train on
-        shared = b" ".join(samples)[-SHARED:]
-    own = _joined(_typical(*make), OWN)
+    shared, typical = _trained(make[1], SHARED), _typical(*make)
+    own = _joined(typical, STRONGEST)
     common = [w for w, c in usual.most_common(8000) if len(w) > 3 and there[w] * len(make[1]) < c * len(make[0])]
     other = _joined(common, len(own)).rjust(len(own), b" ")
-    model = ToxicityModel(shared + other, shared + own, shared[100:132], blank.mean, blank.scale, blank.weights)
+    model = ToxicityModel(
+        _trained(make[1], TRAINED), _trained(make[0], TRAINED),
+        shared + other, shared + own, _joined(typical) + shared + own,
+        shared[100:132], blank.mean, blank.scale, blank.weights,
+    )
     x = model.features(toxic + ordinary)
     y = np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))]
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-9
@@ -213,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
 
 def scored(docs: DataFrame, model: ToxicityModel, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with the toxicity score of every whole text, 0 to 1; null and empty texts are scored
-    as empty. Texts go through Arrow in batches; a task holds one batch and the two dictionaries."""
+    as empty. Texts go through Arrow in batches; a task holds one batch and the dictionaries."""
 
     @F.pandas_udf("double")
     def of(texts: pd.Series) -> pd.Series:

@@ -55,6 +55,21 @@ def test_toxicity_without_labels_or_text(spark):
     assert toxicity.without_toxic(df.limit(0), model).count() == 0
 
 
+def test_toxicity_uses_every_typical_word():
+    r = random.Random(2)
+    words = [f"w{i}" for i in range(300)]
+    nasty = ["".join(r.choice("abcdefghijklmnop") for _ in range(8)) for _ in range(60)]
+    plain = [" ".join(r.choice(words) for _ in range(60)) for _ in range(200)]
+    toxic = [" ".join([*(r.choice(words) for _ in range(50)), *r.sample(nasty, 10)]) for _ in range(100)]
+    model = toxicity.fit_texts(toxic, plain)
+    usual = model.score([" ".join(r.choice(words) for _ in range(60)) for _ in range(50)])
+    some = model.score([" ".join([*(r.choice(words) for _ in range(50)), *r.sample(nasty, 4)]) for _ in range(60)])
+    assert some.min() > usual.max()
+    assert sum(x.encode() in model.toxic for x in nasty) > 40
+    assert not any(x.encode() in model.ordinary for x in nasty)
+    assert all((" " + x).encode() in model.all_words for x in nasty)
+
+
 def slow_statistics(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
