@@ -52,8 +52,10 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-#: White space of any kind before a space or a line end, where the pre-tokenizer looks back.
-_LOOKS_BACK = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}][ \n]"
+#: White space of any kind before a space or a line end, where the pre-tokenizer looks back, or after a
+#: line end, which it keeps together with it.
+_WHITE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_LOOKS_BACK = rf"{_WHITE}[ \n]|\n{_WHITE}"
 _LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 
 

@@ -189,6 +189,20 @@ def test_encoder_is_the_librarys():
             assert p.tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_encoder_keeps_white_space_together():
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer())
+    r = random.Random(3)
+    white = [c for c in map(chr, range(0x3001)) if c.isspace()]
+    texts = ["Intro\n\u00a0\u00a0Text", "Intro\n\u00a0", "Intro\n\u00a0\tText", "a\n\t\tb", "a\n\x1c", "a.\n", "a,\u2028b."]
+    texts += ["".join(r.choice([*white, "\n", "\n", "a", "Text", "é", ".", ",", " b"]) for _ in range(r.randrange(12))) for _ in range(20000)]
+    encoder = token_binary.Encoder(tokenizer())
+    flat, sizes = encoder(pa.array(texts))
+    for t, p in zip(texts, np.split(flat, np.cumsum(sizes)[:-1])):
+        assert p.tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_token_files(spark, tmp_path):
     from tokenizers import Tokenizer
 
