@@ -4,70 +4,72 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Rounds and pairs replaced in each. A round replaces its pairs together, the leftmost first where
-#: they overlap, instead of one pair at a time: what is coded decodes alike, with a few more symbols.
-ROUNDS, PAIRS, LEAST_COUNT = 2, 4096, 4
-SLOTS = 1 << 17
-
-
-def _frequent(codes: np.ndarray, pairs: int) -> np.ndarray:
-    ordered = np.sort(codes)
-    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    counts = np.diff(np.r_[starts, len(ordered)])
-    common = counts >= LEAST_COUNT
-    found, counts = ordered[starts[common]], counts[common]
-    if len(found) > pairs:
-        found = found[np.argpartition(-counts, pairs)[:pairs]]
-    return np.sort(found)
-
-
-def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIRS):
+#: Pairs are replaced until none occurs so often. A round replaces together all pairs that occur at least
+#: a SHARE-th as often as the most frequent one, the leftmost first where they overlap, instead of one
+#: pair at a time: what is coded decodes alike, with a few more symbols.
+LEAST_COUNT, SHARE = 4, 4
+
+
+def _by_pair(symbols: np.ndarray, at: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, positions) of the pairs that begin at ``at``, in order of the pairs."""
+    bits, wide = max(1, int(top - 1).bit_length()), max(1, int(len(symbols) - 1).bit_length())
+    code = symbols[at].astype(np.int64) << bits
+    code |= symbols[at + 1]
+    if 2 * bits + wide <= 63:  # a plain sort of code and position in one number is the fastest
+        code <<= wide
+        code |= at
+        code.sort()
+        at = code & ((1 << wide) - 1)
+        code >>= wide
+    else:
+        order = np.argsort(code, kind="stable")
+        code, at = code[order], at[order]
+    return code, at
+
+
+def compress(ids: np.ndarray, base: int, rounds: int | None = None):
     """(symbols, rules, lengths): rules[k] is the pair that symbol base + k stands for, lengths[k] the
-    number of ids it expands to. Ids must be below ``base``."""
+    number of ids it expands to. Ids must be below ``base``. ``rounds`` limits the rounds."""
     symbols = np.array(ids, np.int32)
-    rules, lengths = [], np.zeros(0, np.int64)
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        codes = symbols[:-1].astype(np.int64) << 32
-        codes |= symbols[1:]
-        chosen = _frequent(codes, pairs)
-        if not len(chosen):
+    rules, lengths, top = [], np.zeros(0, np.int64), base
+    # Where a frequent pair may begin: a pair that was rare stays so until one of its symbols is replaced.
+    live = np.ones(len(symbols), bool)
+    while len(symbols) > 1 and rounds != 0:
+        rounds = rounds and rounds - 1
+        live[-1] = False
+        code, at = _by_pair(symbols, np.flatnonzero(live), top)
+        starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, np.int64)
+        counts = np.diff(np.r_[starts, len(code)])
+        live[at[np.repeat(counts < LEAST_COUNT, counts)]] = False
+        if not len(counts) or counts.max() < LEAST_COUNT:
             break
-        # Pairs are found by a table over a hash; of chosen ones that fall together the last is taken.
-        slots = _slot(symbols[:-1], symbols[1:])
-        number = np.full(SLOTS, -1, np.int32)
-        own = _slot((chosen >> 32).astype(np.int32), chosen.astype(np.int32))
-        number[own] = np.arange(len(chosen))
-        chosen = chosen[number[own] == np.arange(len(chosen))]
-        own = _slot((chosen >> 32).astype(np.int32), chosen.astype(np.int32))
-        number[own] = np.arange(len(chosen))
-        k = number[slots]
-        at = np.flatnonzero(k >= 0)
-        k = k[at]
-        hit = chosen[k] == codes[at]
-        at, k = at[hit], k[hit]
-        pair = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1)
+        chosen = counts >= max(LEAST_COUNT, counts.max() // SHARE)
+        here = np.repeat(chosen, counts)
+        number = np.full(len(symbols), -1, np.int32)
+        number[at[here]] = np.repeat(np.arange(chosen.sum(), dtype=np.int32), counts[chosen])
+        at = np.flatnonzero(number >= 0)
         # Of neighbouring matches every second one is taken, from the left.
         opens = np.r_[True, at[1:] != at[:-1] + 1]
         first = np.maximum.accumulate(np.where(opens, np.arange(len(at)), 0))
-        take = (np.arange(len(at)) - first) % 2 == 0
-        at, k = at[take], k[take]
-        known = base + sum(map(len, rules))
+        at = at[(np.arange(len(at)) - first) % 2 == 0]
+        # Pairs that were left no place make no rule.
+        used, k = np.unique(number[at], return_inverse=True)
+        bits = max(1, int(top - 1).bit_length())
+        pair = code[starts[chosen]][used]
+        pair = np.stack([pair >> bits, pair & ((1 << bits) - 1)], 1)
         rules.append(pair)
         lengths = np.r_[lengths, _length(pair, lengths, base)]
-        symbols[at] = known + k
+        symbols[at] = top + k
+        live[at] = True
+        live[at[at > 0] - 1] = True
+        top += len(pair)
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols = symbols[keep]
+        symbols, live = symbols[keep], live[keep]
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     return symbols, table, lengths
 
 
-def _slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return ((a * np.int32(31)) ^ (b * np.int32(5923))) & np.int32(SLOTS - 1)
-
-
 def _length(pair: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
     of = np.r_[1, lengths]
     return of[np.maximum(pair - base + 1, 0)].sum(1)
@@ -112,4 +114,9 @@ def slice_ids(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base:
         return np.zeros(0, np.int64)
     a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left")
     lead = start - int(ends[a] - size[a])
-    return expand(symbols[a : b + 1], rules, base)[lead : lead + stop - start]
+    out = np.array(symbols[a : b + 1], np.int32)
+    while len(inner := np.flatnonzero(out >= base)):
+        pair = rules[out[inner] - base]
+        out = np.insert(out, inner + 1, pair[:, 1])
+        out[inner + np.arange(len(inner))] = pair[:, 0]
+    return out[lead : lead + stop - start]

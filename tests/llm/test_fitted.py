@@ -168,6 +168,23 @@ def test_pair_grammar_round_trip():
     assert len(repair.compress(np.tile([1, 2, 3, 4], 500), 10)[0]) < 700
 
 
+def test_pair_grammar_leaves_no_frequent_pair():
+    r = np.random.default_rng(2)
+    passage = r.integers(0, 50000, 60)
+    ids = np.concatenate([x for _ in range(300) for x in (r.integers(0, 3000, 40), passage)])
+    symbols, rules, lengths = repair.compress(ids, 50257)
+    assert (repair.expand(symbols, rules, 50257) == ids).all()
+    assert lengths.max() >= 60
+    left = Counter(zip(symbols[:-1].tolist(), symbols[1:].tolist()))
+    assert max(left.values()) < repair.LEAST_COUNT
+    # So many pairs that a table by hash would lose some.
+    many = np.tile(r.permutation(40000), 4)
+    symbols, rules, lengths = repair.compress(many, 50257)
+    assert (repair.expand(symbols, rules, 50257) == many).all()
+    assert lengths.max() >= 40000 and len(symbols) < 100
+    assert len(set(map(tuple, rules.tolist()))) == len(rules)
+
+
 def tokenizer():
     import public_tokenizers
 
