@@ -20,12 +20,14 @@ RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template",
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
     "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
-    "time", "tt", "u", "var", "wbr", "img",
+    "time", "tt", "u", "var", "wbr", "img", "math", "mfrac", "mi", "mn", "mo", "mover", "mrow", "mspace", "msqrt",
+    "mstyle", "msub", "msubsup", "msup", "mtext", "munder", "munderover", "semantics",
 }
 OUTSIDE = {
     "head", "nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "svg", "canvas", "object",
-    "audio", "video", "map", "math", "fieldset", "datalist",
+    "audio", "video", "map", "fieldset", "datalist",
 }
+#: Names of what surrounds an article, as classes and ids have them.
 NAMES = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "adslot", "banner", "sponsor",
     "sponsored", "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification",
@@ -35,6 +37,18 @@ NAMES = {
     "login", "popup", "modal", "overlay", "widget", "widgets", "pagination", "pager", "copyright", "legal", "skip",
     "search", "form", "teaser", "outbrain", "taboola",
 }
+#: Of these, names that parts of an article have as well.
+AMBIGUOUS = {
+    "alert", "banner", "copyright", "discussion", "form", "header", "legal", "modal", "notice", "notices",
+    "notification", "overlay", "promotion", "replies", "reply", "respond", "search", "skip", "teaser",
+}
+#: Parts that a class may have beside the names above.
+FILLERS = {
+    "area", "bar", "block", "bottom", "box", "buttons", "items", "left", "links", "list", "main", "posts", "primary",
+    "right", "secondary", "section", "site", "slot", "top",
+}
+#: Words that an element with an ambiguous name outside an article must have to be kept.
+AMBIGUOUS_COST = 20
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar", "note"}
 WHOLE = {"html", "body", "article", "main"}
 #: Opening one of these ends a paragraph that was left open.
@@ -52,35 +66,73 @@ _PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
 
 
-def _unwanted(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is of a kind that is never part of the article."""
+def _named(value: str) -> str:
+    """What the classes or the id say: ``outside``, ``ambiguous`` or nothing. A class counts as a whole:
+    all of its parts must be such names or fillers, so that ``has-sidebar`` says nothing."""
+    found = ""
+    for token in re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().split():
+        parts = {x for x in _PARTS.split(token) if x}
+        names = parts & NAMES
+        if "".join(_PARTS.split(token)) in NAMES:
+            names, parts = {"".join(_PARTS.split(token))}, set()
+        if names and parts - names <= FILLERS:
+            if names - AMBIGUOUS:
+                return "outside"
+            found = "ambiguous"
+    return found
+
+
+def _unwanted(name: str, attributes: str, in_article: bool) -> tuple[bool, str]:
+    """Whether an element is of a kind that is never part of the article, and what its names say."""
     if name in WHOLE:
-        return False
+        return False, ""
     if name in OUTSIDE:
-        return not (name == "header" and in_article)
+        return not (name == "header" and in_article), ""
     if not attributes or attributes.isspace():
-        return False
+        return False, ""
+    said = ""
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id"):
-            spaced = re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()
-            if not NAMES.isdisjoint(_PARTS.split(spaced)):
-                return True
+            said = max(said, _named(value))  # outside, ambiguous, nothing
         elif key == "role" and value.lower() in ROLES:
-            return True
+            return True, ""
         elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, ""
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return True, ""
+    return False, said
+
+
+def _left_out(out: list[tuple], spans: list[list]) -> list[list]:
+    """The named elements that are no part of the article. One that holds an article, or that holds blocks
+    and in them most of the words of the article or page it stands in, is never left out, and one of
+    ambiguous name only outside articles and if it is short."""
+    words, inner = [0], [0]
+    for kind, value, wanted, inside in out:
+        n = len(value.split()) if kind == "text" and wanted else 0
+        words.append(words[-1] + n)
+        inner.append(inner[-1] + n * inside)
+    left = []
+    for span in spans:
+        a, b, said, inside = span
+        of = inner if inside else words
+        n = of[b] - of[a]
+        holds = not inside and inner[b] > inner[a]
+        most = 2 * n > of[-1] and any(out[i][0] == "open" and out[i][1] not in INLINE for i in range(a + 1, b))
+        if not (holds or most or said == "ambiguous" and (inside or n >= AMBIGUOUS_COST)):
+            left.append(span)
+    return left
 
 
 def tokens(page: str) -> list[tuple[str, str, bool, bool]]:
     """(kind, value, wanted, in_article) in page order; kind is ``text`` with decoded text, ``open`` or
-    ``close`` with an element's name. Text inside unwanted elements is not wanted. Tags that are not
+    ``close`` with an element's name. Text inside unwanted elements is not wanted, nor is text inside named
+    ones that are left out. Tags that are not
     closed, or closed without being open, are borne with; comments and raw elements leave nothing."""
     out: list[tuple[str, str, bool, bool]] = []
-    open_: list[tuple[str, bool]] = []
+    open_: list[tuple[str, bool, list | None]] = []
+    spans: list[list] = []  # of elements whose names speak against them
     bad = inside = 0
     at, end = 0, len(page)
     while at < end:
@@ -98,9 +150,11 @@ def tokens(page: str) -> list[tuple[str, str, bool, bool]]:
             depth = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == name), None)
             # A stray end tag inside an article doesn't end what stands around the article.
             if depth is not None:
-                for other, unwanted in open_[depth:]:
+                for other, unwanted, span in open_[depth:]:
                     bad -= unwanted
                     inside -= other in ("article", "main")
+                    if span:
+                        span[1] = len(out)
                 del open_[depth:]
             out.append(("close", name, not bad, inside > 0))
             continue
@@ -112,13 +166,27 @@ def tokens(page: str) -> list[tuple[str, str, bool, bool]]:
             k = max(i for i, o in enumerate(open_) if o[0] == "p")
             if all(o[0] in INLINE for o in open_[k + 1 :]):
                 bad -= sum(o[1] for o in open_[k:])
+                for o in open_[k:]:
+                    if o[2]:
+                        o[2][1] = len(out)
                 del open_[k:]
-        unwanted = _unwanted(name, m[3], inside > 0)
+        unwanted, said = _unwanted(name, m[3], inside > 0)
         out.append(("open", name, not (bad or unwanted), inside > 0))
         if name not in VOID and not m[3].endswith("/"):
-            open_.append((name, unwanted))
+            span = [len(out) - 1, None, said, inside > 0] if said and not bad else None
+            if span:
+                spans.append(span)
+            open_.append((name, unwanted, span))
             bad += unwanted
             inside += name in ("article", "main")
+    for span in spans:
+        span[1] = len(out) if span[1] is None else span[1]
+    after = 0  # spans are in page order; nested ones are passed once
+    for a, b, _, _ in _left_out(out, spans) if spans else []:
+        for i in range(max(a, after), b):
+            kind, value, _, within = out[i]
+            out[i] = (kind, value, False, within)
+        after = max(after, b)
     return out
 
 

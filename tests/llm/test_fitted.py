@@ -142,6 +142,18 @@ def test_page_text(element):
     assert html_extraction.extract(PAGE % (element, element), weights) == TEXT
 
 
+@pytest.mark.parametrize("wrapper", ["class='layout has-sidebar'", "id='page' class='no-sidebar'", "class='container with-nav'", "class='sidebar'", "id='widgets'"])
+def test_names_discard_no_article(wrapper):
+    weights = html_extraction.learn_weights([PAGE % ("article", "article")] * 3)
+    body = "<%s><div class='article-header'><h1>Title</h1></div><p>%s</p><section id='discussion'><p>It was discussed.</p></section><p class='legal'>By law.</p><p><math>x = 1</math> holds.</p></%s>"
+    for element in ("article", "main"):
+        page = f"<body><div {wrapper}><div class='site-nav'>Menu one two</div>{body % (element, 'word ' * 40, element)}</div></body>"
+        lines = html_extraction.extract(page, weights).split("\n")
+        assert lines == ["Title", " ".join(["word"] * 40), "It was discussed.", "By law.", "x = 1 holds."]
+    page = f"<body><div {wrapper}><div class='comments'>Me too</div><p>{'word ' * 40}</p></div></body>"
+    assert html_extraction.extract(page, weights) == " ".join(["word"] * 40)
+
+
 def test_odd_pages(spark):
     weights = html_extraction.learn_weights([])
     cases = [None, "", "   ", "plain words only", "<p>unclosed <b>bold", "</div></p>stray", "<article>cut <p>off &amp", "<<>< a < b >",
