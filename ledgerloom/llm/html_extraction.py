@@ -51,6 +51,12 @@ FILLERS = {
 AMBIGUOUS_COST = 20
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar", "note"}
 WHOLE = {"html", "body", "article", "main"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Blocks of running text, and what else may stand between two that belong together; around a heading
+#: also its wrappers.
+PROSE = {"p", "blockquote", "pre"} | HEADINGS
+BETWEEN = PROSE | {"br", "hr", "figure", "wbr", "img"}
+WRAPPERS = {"div", "section", "header", "hgroup"}
 #: Opening one of these ends a paragraph that was left open.
 ENDS_P = {
     "p", "div", "ul", "ol", "dl", "table", "pre", "blockquote", "section", "article", "aside", "header", "footer", "nav",
@@ -220,6 +226,69 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return span
 
 
+def _bounds(found: list[tuple], begin: int, end: int) -> tuple[int, int]:
+    """The region grown to whole blocks: to the next tags on both sides that are not inline."""
+    def within(token: tuple) -> bool:
+        return token[0] == "text" or token[1] in INLINE
+
+    while begin > 0 and within(found[begin - 1]):
+        begin -= 1
+    while end < len(found) and within(found[end]):
+        end += 1
+    return begin, end
+
+
+def _linked(block: list[tuple]) -> bool:
+    """Whether most of a block's words stand in links."""
+    inside = linked = words = 0
+    for kind, value, _, _ in block:
+        if kind == "text":
+            words += len(value.split())
+            linked += len(value.split()) * (inside > 0)
+        elif value == "a":
+            inside = max(0, inside + (1 if kind == "open" else -1))
+    return 2 * linked > words
+
+
+def _grown(found: list[tuple], begin: int, end: int) -> tuple[int, int]:
+    """The region with the blocks that its edges cut, and the blocks of text and headings next to it
+    whose words did not pay for their tags. Headings alone are taken in front only: behind, they open
+    what follows."""
+    begin, end = _bounds(found, begin, end)
+
+    def blank(token: tuple) -> bool:
+        return token[0] == "text" and not token[1].strip()
+
+    def passes(token: tuple, names: set[str]) -> bool:
+        return blank(token) or token[2] and token[0] != "text" and (token[1] in names or token[1] in INLINE)
+
+    i = begin
+    while True:
+        while i > 0 and passes(found[i - 1], BETWEEN | WRAPPERS):
+            i -= 1
+        if i == 0 or found[i - 1][0] != "text" or not found[i - 1][2]:
+            break
+        a, b = _bounds(found, i - 1, i)
+        if a == 0 or found[a - 1][0] != "open" or found[a - 1][1] not in PROSE or _linked(found[a:b]):
+            break
+        if found[a - 1][1] not in HEADINGS and not all(passes(t, BETWEEN) for t in found[b:begin]):
+            break
+        i = begin = a - 1
+    i = end
+    while True:
+        while i < len(found) and passes(found[i], BETWEEN):
+            i += 1
+        if i == len(found) or found[i][0] != "text" or not found[i][2]:
+            break
+        a, b = _bounds(found, i, i + 1)
+        if found[a - 1][0] != "open" or found[a - 1][1] not in PROSE or _linked(found[a:b]):
+            break
+        i = b
+        if found[a - 1][1] not in HEADINGS:
+            end = b
+    return begin, end
+
+
 def extract(page: str, weights: dict[str, float]) -> str:
     """The main text of one page, '' if it has none. Inside the best region nothing but unwanted
     elements is left out; blocks are lines, with single spaces."""
@@ -232,10 +301,12 @@ def extract(page: str, weights: dict[str, float]) -> str:
             n = len(value.split())
             scores.append(n * weights["word"] if wanted and (inside or not marked) else -0.1 * n)
         else:
-            scores.append(min(-0.1, weights.get(f"{kind} {value}", -0.5)) if not inside else -0.02)
+            scores.append(min(-0.1, weights.get(f"{kind} {value}", -0.5)))
     begin, end = best_region(scores)
+    if begin < end:
+        begin, end = _grown(found, begin, end)
     # The article is one element: texts cut off by their own tags' cost still belong to it.
-    if marked:
+    if begin < end and marked:
         while begin > 0 and found[begin - 1][3]:
             begin -= 1
         while end < len(found) and found[end][3]:

@@ -154,6 +154,28 @@ def test_names_discard_no_article(wrapper):
     assert html_extraction.extract(page, weights) == " ".join(["word"] * 40)
 
 
+def test_region_grows_to_blocks_and_headings():
+    weights = {"word": 0.2}  # tags cost 0.5 each: short blocks don't pay for their own
+    text = "word " * 40
+    body = f"<div class='top'><h1>Short <i>title</i></h1></div><p>By me</p><p>{text}</p><p>{text}</p><p>The end.</p><h2>More</h2>"
+    page = f"<body><ul><li><a href='/'>Home</a></li></ul><p><a href='/x'>All of our pages</a></p><div id='content'>{body}</div><div>Elsewhere</div></body>"
+    want = ["Short title", "By me", text.strip(), text.strip(), "The end."]
+    assert html_extraction.extract(page, weights).split("\n") == want
+    wrapped = page.replace("<div id='content'>", "<article>").replace("<h2>More</h2></div>", "<h2>More</h2></article>")
+    assert html_extraction.extract(wrapped, weights).split("\n") == [*want, "More"]
+    cut = f"<body><p>a <b>b</b> <code>c</code> {text}<i>x</i> <u>y</u></p></body>"
+    assert html_extraction.extract(cut, weights) == f"a b c {text}x y"
+    assert html_extraction._grown([("text", "a", True, False)], 0, 1) == (0, 1)
+
+
+def test_weights_score_inside_the_article():
+    """Of two articles the one that the learned weights favour, whatever the number of its words."""
+    weights = {"word": 0.5, "open p": -0.1, "close p": -0.1, "open li": -5.0, "close li": -5.0}
+    teasers = "<article>" + "<li>one two three four</li>" * 20 + "</article>"
+    page = f"<body>{teasers}<article><p>{'word ' * 30}</p></article></body>"
+    assert html_extraction.extract(page, weights) == " ".join(["word"] * 30)
+
+
 def test_odd_pages(spark):
     weights = html_extraction.learn_weights([])
     cases = [None, "", "   ", "plain words only", "<p>unclosed <b>bold", "</div></p>stray", "<article>cut <p>off &amp", "<<>< a < b >",
