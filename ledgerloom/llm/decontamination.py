@@ -63,7 +63,9 @@ def _items(items: DataFrame, id: str, text: str, shingle: int) -> DataFrame:
 
 
 def _fingerprint(rows: DataFrame, keys: list[str], grams: Column) -> DataFrame:
-    each = rows.select(*keys, F.explode(grams).alias("h"))
+    """Fingerprints of the shingles as a set of numbered occurrences: of the plain hashes a repeated one
+    would weigh by its square, and the bound of RADIUS would not hold."""
+    each = rows.select(*keys, F.explode(_numbered(grams)).alias("h"))
     summed = each.groupBy(*keys).agg(F.count("h").alias("total"), *simhash_counts(F.col("h")))
     return summed.select(*keys, simhash_value(F.col("total")).alias("fp"))
 

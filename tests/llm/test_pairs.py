@@ -196,6 +196,18 @@ def test_contamination_matches_brute_force(spark):
     assert sorted(x.doc_id for x in clean.collect() if x.doc_id != 502) == sorted(d for d, _ in docs if d not in bad and d != 502)
 
 
+def test_items_that_end_in_a_run_of_one_word(spark):
+    items, docs = [], []
+    for i in range(30):
+        own = [f"w{i}x{j}" for j in range(168)]
+        items.append((i, " ".join(own + ["la"] * 20)))
+        docs.append((i, " ".join(own + [f"o{i}x{j}" for j in range(20)]), "l", "s", 1))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontamination.contaminated(spark.createDataFrame(docs, DOCS), bench).collect()
+    assert sorted((x.doc_id, x.item_id) for x in got) == [(i, i) for i in range(30)]
+    assert all(x.similarity == round(164 / 204, 6) for x in got)
+
+
 def test_words_and_lower_case(spark):
     rows = [("  a\tb\x0bc\x0c\n",), ("\xa0x y",), (None,), ("ÀB İZ ⅣQ",), (" \r\n",)]
     got = spark.createDataFrame(rows, "t string").select(words(F.col("t")).alias("w"), lower_ascii(F.col("t")).alias("l")).collect()
