@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import workspace
-from . import chat, decontamination, html_extraction, mixing, quality, simhash_dedup, token_binary, toxicity, url_filters, warc
+from . import (
+    chat, conversation_repair, decontamination, fill_middle, html_extraction, jaccard_join, mixing, quality, simhash_dedup,
+    token_binary, toxicity, url_filters, warc,
+)
 from .common import literal_rows, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,11 +114,25 @@ def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_runs(spark, table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair(conversation_repair.damaged(rows), rows)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_in_middle(table(spark, sf_dir, "documents"), digests=True)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_mixing, op3_chat_formatting, op4_quality_rules, op5_simhash_dedup, op6_toxicity,
-        op7_warc, op8_url_filters, op9_html_extraction, op10_token_binary,
+        op7_warc, op8_url_filters, op9_html_extraction, op10_token_binary, op11_jaccard_join,
+        op12_conversation_repair, op13_fill_in_middle,
     )
 }
 
@@ -198,5 +215,56 @@ fits as (
     on (p.host = r.rhost or ends_with(p.host, '.' || r.rhost)) and starts_with(p.path, r.rpath))
 select p.page_id, p.host, p.path, f.rhost || f.rpath as rule, coalesce(f.verdict, 'allow') as verdict
 from parsed p left join fits f on f.page_id = p.page_id and f.k = 1
+""",
+    "op11_jaccard_join": r"""
+with recursive split as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select r, doc_id,
+    case when len(w) = 0 then []
+      when len(w) < 4 then [array_to_string(w, ' ')]
+      else list_distinct([array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)]) end as s
+  from split),
+members as (select r, unnest(s) as x from sets),
+shared as (
+  select a.r as a, b.r as b, count(*) as overlap from members a join members b on a.x = b.x and a.r <> b.r group by all),
+links as (
+  select a, b from shared join sets p on p.r = a join sets q on q.r = b
+  where 100 * overlap >= 85 * (len(p.s) + len(q.s) - overlap)),
+reach as (
+  select r, r as at from sets
+  union
+  select reach.r, links.b from reach join links on links.a = reach.at)
+select doc_id, len(s)::bigint as n_shingles,
+  (select min(o.doc_id) from reach join sets o on o.r = reach.at where reach.r = sets.r) as component_id
+from sets
+""",
+    "op13_fill_in_middle": r"""
+with hashed as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as t,
+    sha256('1:' || coalesce(doc_id::varchar, '')) as d
+  from documents),
+numbers as (
+  select *, len(t)::bigint as n,
+    [('0x' || substr(d, 1 + 8 * i, 8))::bigint for i in range(4)] as h
+  from hashed),
+cuts as (
+  select *, least(h[1] % (n + 1), h[2] % (n + 1)) as a, greatest(h[1] % (n + 1), h[2] % (n + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h[3] % 100 >= 90
+        then 'plain' when h[4] % 100 < 20 then 'spm' else 'psm' end as form
+  from numbers),
+parts as (
+  select *, array_to_string(t[1:a], '') as p, array_to_string(t[a + 1:b], '') as m, array_to_string(t[b + 1:], '') as s
+  from cuts)
+select doc_id, n, form,
+  case when form <> 'plain' then length(p)::bigint end as prefix_chars,
+  case when form <> 'plain' then length(m)::bigint end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts
 """,
 }
