@@ -37,6 +37,11 @@ GROUPS, BLOCK_GROUPS = 64, 1 << 20
 CLASS, SPARE = 2, 1.25
 #: Points of a leaf, children of a node, and points of the pieces in which a large page is joined.
 LEAF, FANOUT, PIECE = 16, 8, 2048
+#: Points from which a page that is still open has every point ask one more of its points before all pairs.
+LOOSE = 64
+#: Least pages of a point that travel with it, by which a pair knows where else it meets.
+SKETCH = 16
+_NEVER = (1 << 63) - 1
 #: Bytes of text that are cut into words at once.
 SLICE = 4 << 20
 
@@ -301,20 +306,36 @@ def _may_link(high: np.ndarray, least: np.ndarray, point: np.ndarray, size: int,
     return (p + q) * overlap >= p * (size + least)
 
 
+def _candidates(points: np.ndarray, sizes: np.ndarray, asking: np.ndarray, asked: np.ndarray, similarity: Fraction):
+    """(i, numbers of the asked points that may be linked with point i) for every asking point."""
+    if len(asked) <= LEAF:  # the tree is one leaf
+        for i in asking:
+            yield i, asked[_may_link(points[asked], sizes[asked], points[i], int(sizes[i]), similarity)]
+    else:
+        tree = Tree(points[asked], sizes[asked])
+        for i in asking:
+            yield i, asked[tree.near(points[i], int(sizes[i]), similarity)]
+
+
 def page_pairs(
-    cids: np.ndarray, roots: np.ndarray, sides: np.ndarray, points: np.ndarray, sizes: np.ndarray, similarity: Fraction
+    key: int, cids: np.ndarray, roots: np.ndarray, sides: np.ndarray, sizes: np.ndarray, points: np.ndarray,
+    sketches: np.ndarray, similarity: Fraction,
 ) -> list[tuple[int, int]]:
-    """The pairs of a page or of two of its pieces that survive the tree, ends under one root left out.
-    Side 1 asks, side 0 is asked; side 2 does both."""
-    asked = np.flatnonzero(sides != 1)
-    if not len(asked) or not (sides != 0).any():
-        return []
-    tree = Tree(points[asked], sizes[asked])
+    """The pairs of a page, or of two of its pieces, that survive the tree. Side 1 asks, side 0 is asked; side
+    2 does both. Left out are pairs under one root, and pairs whose sketches name a lesser page of both: they
+    meet there as well. No sketch names one lesser than the least, so a pair is never left out everywhere."""
+    asked, asking = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
     pairs = []
-    for i in np.flatnonzero(sides != 0):
-        for j in asked[tree.near(points[i], int(sizes[i]), similarity)]:
-            if roots[i] != roots[j] and (sides[i] == 1 or cids[i] < cids[j]):
-                pairs.append((min(int(cids[i]), int(cids[j])), max(int(cids[i]), int(cids[j]))))
+    if not len(asked) or not len(asking):
+        return pairs
+    for i, found in _candidates(points, sizes, asking, asked, similarity):
+        found = found[roots[found] != roots[i]]
+        if sides[i] == 2:
+            found = found[cids[found] > cids[i]]
+        lesser = sketches[i][sketches[i] < key]
+        if len(found) and len(lesser):
+            found = found[~np.isin(sketches[found], lesser).any(1)]
+        pairs.extend((min(int(cids[i]), int(cids[j])), max(int(cids[i]), int(cids[j]))) for j in found)
     return pairs
 
 
@@ -326,52 +347,53 @@ def _join_pages(similarity: Fraction, schema: pa.Schema):
 
         def close() -> None:
             if held:
-                cid, root, side, n, counts = (np.concatenate(c) for c in zip(*held))
-                for x, y in page_pairs(cid, root, side, counts, n, similarity):
+                columns = [np.concatenate(c) for c in zip(*held)]
+                for x, y in page_pairs(int(columns[0][0]), *columns[1:], similarity):
                     a.append(x)
                     b.append(y)
                 held.clear()
 
+        def made() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+            a.clear(), b.clear()
+            return batch
+
         for batch in batches:
-            cells, cid, root, side, n = [batch.column(i).to_pylist() if i == 0 else batch.column(i).to_numpy() for i in range(5)]
-            counts = batch.column(5).flatten().to_numpy().reshape(-1, GROUPS)
-            edges = [0, *[i for i in range(1, len(cells)) if cells[i] != cells[i - 1]], len(cells)]
+            key, p, q, *rest = [batch.column(i).to_numpy() for i in range(7)]
+            counts = batch.column(7).flatten().to_numpy().reshape(-1, GROUPS)
+            sketches = batch.column(8).flatten().to_numpy().reshape(-1, SKETCH)
+            new = (key[1:] != key[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
+            edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(key)] if len(key) else []
             for low, high in zip(edges, edges[1:]):
-                if low == high:
-                    continue
-                if cells[low] != cell:
+                name = (int(key[low]), int(p[low]), int(q[low]))
+                if name != cell:
                     close()
-                    cell = cells[low]
-                held.append((cid[low:high], root[low:high], side[low:high], n[low:high], counts[low:high]))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
-            a.clear(), b.clear()
+                    cell = name
+                held.append([c[low:high] for c in (key, *rest, counts, sketches)])
+            yield made()
         close()
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+        yield made()
 
     return work
 
 
 def _cells(pages: DataFrame) -> DataFrame:
-    """(cell, cid, root, side) of pages with several roots. A page of more than PIECE points is cut into
-    pieces in order of their roots, and each two pieces that do not both lie under one root meet in a cell."""
-    inside = Window.partitionBy("key")
-    placed = pages.withColumn(
-        "piece", F.floor((F.row_number().over(inside.orderBy("root", "cid")) - 1) / F.lit(PIECE)).cast("int")
-    )
+    """(key, p, q, cid, root, side) of open pages. A page of more than PIECE points is cut into pieces in order
+    of their roots; piece p is asked by piece q in a cell of their own, unless both lie under one root."""
+    inside = Window.partitionBy("key").orderBy("root", "cid")
+    placed = pages.withColumn("piece", F.floor((F.row_number().over(inside) - 1) / F.lit(PIECE)).cast("int"))
     pieces = placed.groupBy("key", "piece").agg(F.min("root").alias("least"), F.max("root").alias("most"))
     pieces = staged(pieces, "pieces")
     left = pieces.select("key", F.col("piece").alias("p"), F.col("least").alias("l1"), F.col("most").alias("m1"))
     right = pieces.select("key", F.col("piece").alias("q"), F.col("least").alias("l2"), F.col("most").alias("m2"))
     met = left.join(right, "key").where("p <= q and (l1 <> m1 or l2 <> m2 or l1 <> l2)")
-    # Names of cells: the page, the asked piece, the asking piece.
-    sides = met.select(
-        "key", F.concat_ws("/", "key", "p", "q").alias("cell"),
-        F.explode(
-            F.when(F.col("p") == F.col("q"), F.array(F.struct(F.col("p").alias("piece"), F.lit(2).alias("side"))))
-            .otherwise(F.array(F.struct(F.col("p").alias("piece"), F.lit(0).alias("side")), F.struct(F.col("q").alias("piece"), F.lit(1).alias("side"))))
-        ).alias("s"),
-    ).select("key", "cell", "s.piece", "s.side")
-    return placed.join(sides, ["key", "piece"]).select("cell", "cid", "root", "side")
+
+    def part(name: str, side: int):
+        return F.struct(F.col(name).alias("piece"), F.lit(side).alias("side"))
+
+    parts = F.when(F.col("p") == F.col("q"), F.array(part("p", 2))).otherwise(F.array(part("p", 0), part("q", 1)))
+    sides = met.select("key", "p", "q", F.explode(parts).alias("s")).select("key", "p", "q", "s.piece", "s.side")
+    return placed.join(sides, ["key", "piece"]).select("key", "p", "q", "cid", "root", "side")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
@@ -395,40 +417,70 @@ def _point_bound(pairs: DataFrame, points: DataFrame, similarity: Fraction) -> D
     return pairs.join(two, "b").join(one, "a").where((p + q) * overlap >= p * (F.col("n1") + F.col("n2"))).select("a", "b")
 
 
-def _links(
+def _open_pages(pages: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(key, cid, root, m) of the pages whose m points lie under several roots (without roots, each point under
+    its own). Of pages with the same points one is kept: they would make the same pairs."""
+    if roots is None:
+        rooted = pages.select("key", "cid", F.col("cid").alias("root"))
+    else:
+        known = roots.select(F.col("node").alias("cid"), "root")
+        rooted = pages.join(known, "cid", "left").select("key", "cid", F.coalesce("root", "cid").alias("root"))
+    same = [F.bit_xor(F.xxhash64("cid", F.lit(salt))).alias(f"same{salt}") for salt in (1, 2)]
+    sized = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("m"), *same)
+    kept = sized.where("least < most").groupBy("m", "same1", "same2").agg(F.min("key").alias("key")).select("key", "m")
+    return staged(rooted.join(kept, "key"), "open")
+
+
+def _linked(
     docs: DataFrame, text: str, classes: DataFrame, shingle: int, similarity: Fraction, every: bool
-) -> DataFrame:
-    """Links (a, b) of classes. With ``every`` all of them, else as many as their components need."""
-    routes = classes.where(F.size("keys") > 0).select(F.explode(F.array_distinct("keys")).alias("key"), "cid")
+) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of classes, and (node, root) of their components. With ``every`` all links, else as many
+    as the components need."""
+    routes = classes.select(F.explode(F.array_distinct("keys")).alias("key"), "cid")
     page = Window.partitionBy("key")
     met = routes.select(
         "key", "cid", F.min("cid").over(page).alias("seed"), F.max("cid").over(page).alias("last")
     ).where("seed < last")
     pages = staged(met.select("key", "cid", "seed"), "pages")
     points = classes.select("cid", "n", "counts")
-    # First each page is asked for its first point alone: one question a point, however large the page.
-    first = pages.where("cid <> seed").select(F.col("seed").alias("a"), F.col("cid").alias("b")).distinct()
-    near = staged(_point_bound(first, points, similarity), "near")
-    wanted = near.select(F.col("a").alias("cid")).union(near.select(F.col("b").alias("cid"))).distinct()
-    found = staged(_verified(near, _set_table(docs, text, wanted, classes, shingle), similarity), "links")
-    # Then for all pairs that are not yet in one component (for all that are, if every link is asked for).
-    roots = components(found).withColumnRenamed("node", "cid")
-    if every:
-        rooted = pages.select("key", "cid", F.col("cid").alias("root"))
-    else:
-        rooted = pages.join(roots, "cid", "left").select("key", "cid", F.coalesce("root", "cid").alias("root"))
-    open_ = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
-    rest = staged(rooted.join(open_.select("key"), "key", "left_semi"), "open")
-    rows = _cells(rest).join(points, "cid").select("cell", "cid", "root", "side", "n", "counts")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = staged(pairs, "pairs")
+        wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
+        sets = _set_table(docs, text, wanted, classes, shingle)
+        return staged(_verified(pairs, sets, similarity), "links")
+
+    def asked(rows: DataFrame) -> DataFrame:
+        """Each point's question to the page's chosen one, where the summed minima leave it open."""
+        pairs = rows.select(F.least("seed", "cid").alias("a"), F.greatest("seed", "cid").alias("b")).distinct()
+        return _point_bound(pairs, points, similarity)
+
+    # A page's first point alone is asked by the others: one question a point, however large the page.
+    links = verified(asked(pages.where("cid <> seed")))
+    roots = components(links)
+    left = _open_pages(pages, None if every else roots)
+    large = left.where(F.col("m") > LOOSE)
+    if not every and not large.isEmpty():
+        # Near copies that are copies of a text far from the first point: now each page has another one asked.
+        chosen = large.groupBy("key").agg(F.min_by(F.struct("cid", "root"), F.xxhash64("key", "cid")).alias("seed"))
+        rows = large.join(chosen, "key").where("root <> seed.root").select("cid", F.col("seed.cid").alias("seed"))
+        links = links.union(verified(asked(rows)))
+        roots = components(links)
+        left = _open_pages(pages, roots)
+    # At last all pairs that are not under one root, in trees.
+    sketch = F.slice(F.concat(F.array_sort(F.collect_set("key")), F.array_repeat(F.lit(_NEVER), SKETCH)), 1, SKETCH)
+    about = points.join(left.groupBy("cid").agg(sketch.alias("sketch")), "cid")
+    rows = _cells(left).join(about, "cid").select("key", "p", "q", "cid", "root", "side", "n", "counts", "sketch")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-    pairs = (
-        rows.repartition("cell").sortWithinPartitions("cell")
-        .mapInArrow(_join_pages(similarity, to_arrow_schema(schema)), schema).distinct()
+    cell = ["key", "p", "q"]
+    pairs = rows.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(
+        _join_pages(similarity, to_arrow_schema(schema)), schema
     )
-    more = staged(pairs.join(near, ["a", "b"], "left_anti"), "more")
-    wanted = more.select(F.col("a").alias("cid")).union(more.select(F.col("b").alias("cid"))).distinct()
-    rest_found = _verified(more, _set_table(docs, text, wanted, classes, shingle), similarity)
-    return found.union(staged(rest_found, "links"))
+    more = verified(pairs.distinct())
+    if more.isEmpty():
+        return links, roots
+    links = links.union(more).distinct()
+    return links, components(links)
 
 
 def _classes(docs: DataFrame, id: str, text: str, shingle: int, similarity: Fraction) -> tuple[DataFrame, DataFrame]:
@@ -452,7 +504,7 @@ def similar_pairs(
     """All links between different sets as (a, b), a < b, numbers of classes; and the membership
     (id, n, class), a row per row of ``docs``, class null for texts without words."""
     rows, classes = _classes(docs, id, text, shingle, similarity)
-    links = _links(docs, text, classes, shingle, similarity, True)
+    links, _ = _linked(docs, text, classes, shingle, similarity, True)
     of = rows.join(classes.select("digest", F.col("cid").alias("class")), "digest", "left")
     return links, of.select(F.col("id").alias(id), "n", "class")
 
@@ -469,13 +521,12 @@ def similarity_groups(
     are copies. Other columns are ignored, whatever their names; an empty table gives an empty one. Whole
     texts are used, of any length; sets are of 64-bit hashes of shingles.
 
-    Equal sets are one class before anything is compared. A page's first point is asked first, which links
-    a group of near copies in proportion to its size; what is still apart is asked for pair by pair in
-    pieces of bounded size. No link between different components is left out.
+    Equal sets are one class before anything is compared. One point of a page is asked by the others first,
+    which links a group of near copies in proportion to its size; what is still apart after that is asked
+    for pair by pair, in pieces of bounded size. No link between different components is left out.
     """
     rows, classes = _classes(docs, id, text, shingle, similarity)
-    links = _links(docs, text, classes, shingle, similarity, False)
-    roots = components(links)
+    _, roots = _linked(docs, text, classes, shingle, similarity, False)
     rooted = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
         "digest", "least", F.coalesce("root", "cid").alias("root")
     )
