@@ -32,7 +32,9 @@ SHINGLE = 4
 #: Similarity from which documents are linked, as an exact fraction.
 SIMILARITY = Fraction(85, 100)
 #: Coordinates of a point, and groups that a block of the page layout tells apart.
-GROUPS, BLOCK_GROUPS = 64, 1 << 20
+GROUPS, BLOCK_GROUPS = 256, 1 << 20
+#: Greatest count a coordinate holds. A point beyond it in any is put into the far corner of all.
+MOST = 127
 #: Sizes of sets grow by this factor from one layout of blocks to the next; blocks per difference.
 CLASS, SPARE = 2, 1.25
 #: Points of a leaf, children of a node, and points of the pieces in which a large page is joined.
@@ -198,16 +200,17 @@ def _describe(shingle: int, similarity: Fraction, schema: pa.Schema):
             low = held = 0
             for i, members in _members(batch.column(1), shingle):
                 point = np.bincount((members >> _U(8)).astype(np.int64) & (GROUPS - 1), minlength=GROUPS)
+                point = point if point.max() <= MOST else np.full(GROUPS, MOST)
                 pages = page_keys(members, similarity) if len(members) else members
                 n.append(len(members))
                 digests.append(_digest(members))
-                counts.append(point.astype(np.int32))
+                counts.append(point.astype(np.int8))
                 keys.append(pages.view(np.int64))
                 held += len(pages)
                 if held >= HELD or i == batch.num_rows - 1:
                     columns = [
                         batch.column(0).slice(low, i + 1 - low), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                        _lists(counts, pa.int32()), _lists(keys, pa.int64()),
+                        _lists(counts, pa.int8()), _lists(keys, pa.int64()),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, schema=schema)
                     n, digests, counts, keys = [], [], [], []
@@ -221,7 +224,7 @@ def described(docs: DataFrame, id: str, text: str, shingle: int, similarity: Fra
     kind = docs.schema[id].dataType
     schema = T.StructType([
         T.StructField("id", kind), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()),
-        T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("keys", T.ArrayType(T.LongType())),
+        T.StructField("counts", T.ArrayType(T.ByteType())), T.StructField("keys", T.ArrayType(T.LongType())),
     ])
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(_describe(shingle, similarity, to_arrow_schema(schema)), schema)
@@ -300,10 +303,11 @@ class Tree:
 
 
 def _may_link(high: np.ndarray, least: np.ndarray, point: np.ndarray, size: int, similarity: Fraction) -> np.ndarray:
-    """Where the summed minima leave room for the overlap: (1 + s) * overlap >= s * (size + other size)."""
+    """Where the summed minima leave room for the overlap: (1 + s) * overlap >= s * (size + other size). Two
+    points in the far corner say nothing of their overlap."""
     overlap = np.minimum(high, point).sum(1, dtype=np.int64)
     p, q = similarity.numerator, similarity.denominator
-    return (p + q) * overlap >= p * (size + least)
+    return ((p + q) * overlap >= p * (size + least)) | (overlap == GROUPS * MOST)
 
 
 def _candidates(points: np.ndarray, sizes: np.ndarray, asking: np.ndarray, asked: np.ndarray, similarity: Fraction):
@@ -414,7 +418,8 @@ def _point_bound(pairs: DataFrame, points: DataFrame, similarity: Fraction) -> D
     least = F.zip_with("c1", "c2", lambda x, y: F.least(x, y))
     overlap = F.aggregate(least, F.lit(0).cast("long"), lambda s, x: s + x)
     p, q = similarity.numerator, similarity.denominator
-    return pairs.join(two, "b").join(one, "a").where((p + q) * overlap >= p * (F.col("n1") + F.col("n2"))).select("a", "b")
+    room = ((p + q) * F.col("o") >= p * (F.col("n1") + F.col("n2"))) | (F.col("o") == GROUPS * MOST)
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "n1", "n2", overlap.alias("o")).where(room).select("a", "b")
 
 
 def _open_pages(pages: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -442,7 +447,8 @@ def _linked(
         "key", "cid", F.min("cid").over(page).alias("seed"), F.max("cid").over(page).alias("last")
     ).where("seed < last")
     pages = staged(met.select("key", "cid", "seed"), "pages")
-    points = classes.select("cid", "n", "counts")
+    met = pages.select("cid").distinct()
+    points = staged(classes.select("cid", "n", "counts").join(met, "cid", "left_semi"), "points")
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs, "pairs")

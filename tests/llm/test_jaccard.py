@@ -123,6 +123,11 @@ def test_a_very_long_text(spark, monkeypatch):
     check(spark, [" ".join(long), "short text", " ".join(near), " ".join(long[:40000])])
 
 
+def test_points_in_the_far_corner(spark, monkeypatch):
+    monkeypatch.setattr(jj, "MOST", 2)
+    check(spark, texts_of(8, 80))
+
+
 @pytest.mark.parametrize("n", [1, 5, 6, 7, 12, 15, 16, 17, 31, 32, 63, 64, 120, 127, 128, 300, 511, 512, 2000])
 def test_linked_sets_share_a_page(n):
     """Sets edited up to the limit, by additions, by removals and by both."""
@@ -153,13 +158,13 @@ def test_other_similarity_shares_a_page():
 
 def test_tree_finds_what_its_bound_allows():
     r = np.random.default_rng(1)
-    points = r.poisson(3, (700, jj.GROUPS)).astype(np.int32)
+    points = r.poisson(3, (700, jj.GROUPS)).astype(np.int8)
     points[350:] = points[:350] + r.integers(0, 2, (350, jj.GROUPS))
-    sizes = points.sum(1)
+    sizes = points.sum(1, dtype=np.int64)
     tree = jj.Tree(points, sizes)
     tested = 0
     for i in range(0, 700, 7):
-        overlap = np.minimum(points, points[i]).sum(1)
+        overlap = np.minimum(points, points[i]).sum(1, dtype=np.int64)
         want = set(np.flatnonzero(185 * overlap >= 85 * (sizes + sizes[i])))
         assert set(tree.near(points[i], int(sizes[i]), jj.SIMILARITY)) == want
         tested += len(want)
