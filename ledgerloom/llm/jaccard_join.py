@@ -45,7 +45,7 @@ LOOSE = 64
 SKETCH = 16
 _NEVER = (1 << 63) - 1
 #: Bytes of text that are cut into words at once.
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 _U = np.uint64
 
@@ -190,7 +190,7 @@ def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 #: Page keys or shingles after which a batch is handed on.
-HELD = 1 << 20
+HELD = 1 << 18
 
 
 def _describe(shingle: int, similarity: Fraction, schema: pa.Schema):
