@@ -441,4 +441,6 @@ oracle("incremental_work_orders", "select * from wo", "wo", **_WO)
 oracle(
     "incremental_maintenance_daily", "select * from daily", "daily", day="activity_date", money="parts_cost",
 )
+ORACLES["incremental_fct_maintenance_events"] = ORACLES["fct_maintenance_events"]
+ORACLES["incremental_waterfront_checks"] = ORACLES["fct_waterfront_checks"]
 oracle("streamed_dedupe", "select * from ev", "ev", ts=_EV_TS, money=_EV_MONEY)

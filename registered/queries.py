@@ -19,8 +19,7 @@ from ledgerloom.operators.validate import batch_status as status_of
 from ledgerloom.operators.validate import is_accepted, reference_status, validate
 from ledgerloom.plans import dims, events, facts, monitoring, reporting, staging
 from ledgerloom.session import staged, workspace
-from ledgerloom.streaming.marts import EventMarts
-from ledgerloom.streaming.stream import start
+from ledgerloom.streaming.bucketed import BucketedMarts, start
 
 from .views import spark_sql, table, view
 
@@ -463,46 +462,60 @@ def contract_upgrade(spark, d):
 
 # Incremental and streaming
 
-LANDINGS = 3
-
-
-def _marts(spark: SparkSession, d: str) -> EventMarts:
-    """All copies, landed in three runs that interleave received days, so that copies received
-    earlier land later."""
-    raw = view(spark, d, "raw_app_events").withColumn(
-        "landing", F.dayofmonth(F.col("received_at").cast("date")) % LANDINGS
+def _streamed(spark: SparkSession, d: str, batches: int, wanted: list[str], by_marks: bool = False) -> BucketedMarts:
+    """All copies as upload files, a file or more for each day of the month, through the streaming job in
+    about so many micro-batches. Days lie apart in the files' order, so that copies received earlier land
+    later."""
+    raw = view(spark, d, "raw_app_events")
+    shown = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    event = F.struct(
+        "event_id", "device_id", "device_seq", "event_type",
+        F.date_format("occurred_at", shown).alias("occurred_at"), "payload",
+    )
+    sent = raw.groupBy("upload_id", "tenant_id", "device_id", "received_at").agg(
+        F.collect_list(event).alias("events")
+    )
+    folder = workspace(spark, "uploads")
+    # The order in which the days are listed: 0, 5, 10, ... 1, 6, ...
+    day = F.dayofmonth(F.col("received_at").cast("date"))
+    part = F.format_string("%d-%02d", day % 5, day).alias("part")
+    files = sent.select("*", part).withColumn("received_at", F.date_format("received_at", shown))
+    files.hint("rebalance", F.col("part")).write.partitionBy("part").json(folder)
+    n = len(spark.read.text(f"{folder}/*").inputFiles())
+    marts = BucketedMarts(
+        spark, workspace(spark, "marts"), _tenants(spark, d), buckets=16, marts=wanted, by_marks=by_marks
+    )
+    run = start(
+        spark, f"{folder}/*", workspace(spark, "stream"), marts, max_files=-(-n // batches), refresh=bool(wanted)
     )
-    marts = EventMarts(spark, workspace(spark, "marts"), _tenants(spark, d))
-    for n in range(LANDINGS):
-        marts.run(raw.where(F.col("landing") == n), AS_OF + dt.timedelta(hours=n))
+    run.awaitTermination()
+    if run.exception() is not None:
+        raise run.exception()
     return marts
 
 
 @query
 def incremental_work_orders(spark, d):
-    return _marts(spark, d).work_orders().drop("_loaded_at")
+    return _streamed(spark, d, 3, ["fct_work_orders"]).work_orders().drop("_loaded_at")
 
 
 @query
 def incremental_maintenance_daily(spark, d):
-    return _marts(spark, d).daily().drop("_refreshed_at")
+    return _streamed(spark, d, 3, ["rpt_maintenance_daily"]).daily().drop("_refreshed_at")
+
+
+@query
+def incremental_fct_maintenance_events(spark, d):
+    """Each run takes up what was stored from its own target's high-water mark on."""
+    return _streamed(spark, d, 3, ["facts_by_day"], by_marks=True).maintenance_events().drop("_loaded_at")
+
+
+@query
+def incremental_waterfront_checks(spark, d):
+    return _streamed(spark, d, 3, ["checks"], by_marks=True).waterfront_checks().drop("_loaded_at")
 
 
 @query
 def streamed_dedupe(spark, d):
-    """Uploads as JSON lines through the streaming job, two micro-batches."""
-    raw = view(spark, d, "raw_app_events")
-    shown = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    event = F.struct(
-        "event_id", "device_id", "device_seq", "event_type",
-        F.date_format("occurred_at", shown).alias("occurred_at"), "payload",
-    )
-    sent = raw.groupBy("upload_id", "tenant_id", "device_id", "received_at").agg(
-        F.collect_list(event).alias("events")
-    )
-    folder = workspace(spark, "uploads")
-    sent.withColumn("received_at", F.date_format("received_at", shown)).repartition(2).write.json(folder)
-    marts = EventMarts(spark, workspace(spark, "marts"), _tenants(spark, d))
-    run = start(spark, folder, workspace(spark, "stream"), marts, max_files=1)
-    run.awaitTermination()
-    return marts.events().drop("_loaded_at")
+    """At least 16 upload files in 4 micro-batches; ids are looked up in the state store."""
+    return _streamed(spark, d, 4, []).events().drop("_loaded_at")
