@@ -5,8 +5,9 @@ from __future__ import annotations
 import numpy as np
 
 #: Pairs are replaced until none occurs so often. A round replaces together all pairs that occur at least
-#: a SHARE-th as often as the most frequent one, the leftmost first where they overlap, instead of one
-#: pair at a time: what is coded decodes alike, with a few more symbols.
+#: a SHARE-th as often as the most frequent one, instead of one pair at a time. Where matches overlap, the
+#: pair that is more frequent, then the one of the lesser hash, is taken: equal passages are cut alike wherever
+#: they stand, and their copies go on to share rules.
 LEAST_COUNT, SHARE = 4, 4
 
 
@@ -27,6 +28,26 @@ def _by_pair(symbols: np.ndarray, at: np.ndarray, top: int) -> tuple[np.ndarray,
     return code, at
 
 
+def _scattered(codes: np.ndarray) -> np.ndarray:
+    """An order of the pairs that has nothing to do with their symbols' numbers."""
+    x = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def _winners(number: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of overlapping matches those that are replaced. ``number`` holds each position's rank, one place
+    further on. A run of one pair (``aaaa``) wins as a whole over its neighbours if its rank is less, and gives
+    every second of its matches, from the left."""
+    rank = number[at + 1]
+    opens = np.r_[True, (at[1:] != at[:-1] + 1) | (rank[1:] != rank[:-1])]
+    first = np.flatnonzero(opens)
+    last = np.r_[first[1:], len(at)] - 1
+    wins = (number[at[first]] > rank[first]) & (number[at[last] + 2] > rank[first])
+    length = last - first + 1
+    nth = np.arange(len(at)) - np.repeat(first, length)
+    return at[np.repeat(wins, length) & (nth % 2 == 0)]
+
+
 def compress(ids: np.ndarray, base: int, rounds: int | None = None):
     """(symbols, rules, lengths): rules[k] is the pair that symbol base + k stands for, lengths[k] the
     number of ids it expands to. Ids must be below ``base``. ``rounds`` limits the rounds."""
@@ -45,17 +66,16 @@ def compress(ids: np.ndarray, base: int, rounds: int | None = None):
             break
         chosen = counts >= max(LEAST_COUNT, counts.max() // SHARE)
         here = np.repeat(chosen, counts)
-        number = np.full(len(symbols), -1, np.int32)
-        number[at[here]] = np.repeat(np.arange(chosen.sum(), dtype=np.int32), counts[chosen])
-        at = np.flatnonzero(number >= 0)
-        # Of neighbouring matches every second one is taken, from the left.
-        opens = np.r_[True, at[1:] != at[:-1] + 1]
-        first = np.maximum.accumulate(np.where(opens, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - first) % 2 == 0]
+        rank = np.empty(int(chosen.sum()), np.int32)
+        rank[np.lexsort((_scattered(code[starts[chosen]]), -counts[chosen]))] = np.arange(len(rank), dtype=np.int32)
+        number = np.full(len(symbols) + 2, len(rank), np.int32)  # a place on either side that never wins
+        number[at[here] + 1] = np.repeat(rank, counts[chosen])
+        at = np.flatnonzero(number[1:-1] < len(rank))
+        at = _winners(number, at)
         # Pairs that were left no place make no rule.
-        used, k = np.unique(number[at], return_inverse=True)
+        used, k = np.unique(number[at + 1], return_inverse=True)
         bits = max(1, int(top - 1).bit_length())
-        pair = code[starts[chosen]][used]
+        pair = code[starts[chosen]][np.argsort(rank)][used]
         pair = np.stack([pair >> bits, pair & ((1 << bits) - 1)], 1)
         rules.append(pair)
         lengths = np.r_[lengths, _length(pair, lengths, base)]

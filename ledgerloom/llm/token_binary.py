@@ -30,13 +30,14 @@ SHARD_IDS = 1 << 20
 #: after that the memory starts anew.
 REMEMBERED = 200_000
 #: Bytes of text encoded at a time; a longer text is encoded by itself.
-SLICE = 1 << 22
+SLICE = 1 << 20
 END_ID = 2
 #: Rows of the Arrow batches that are encoded and decoded.
-TEXTS_A_BATCH, SHARDS_A_BATCH = 1000, 4
+TEXTS_A_BATCH, SHARDS_A_BATCH = 1000, 1
 FILE = (
     "range int, shard int, n_docs int, n_tokens bigint, base int, doc_ids array<bigint>, "
-    "doc_tokens array<int>, symbols binary, symbol_bytes int, rules binary, lengths binary"
+    "doc_tokens array<int>, n_symbols int, n_rules int, symbol_bits int, length_bits int, "
+    "symbols binary, rules binary, lengths binary"
 )
 
 
@@ -188,9 +189,30 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def _shard(number: int, base: int, ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> pa.RecordBatch:
+def _width(greatest: int) -> int:
+    return max(1, int(greatest).bit_length())
+
+
+def _packed(numbers: np.ndarray, bits: int) -> bytes:
+    """Numbers of so many bits each, end to end, lowest bit first."""
+    numbers = np.asarray(numbers).ravel()
+    planes = np.empty((len(numbers), bits), np.uint8)
+    for k in range(bits):
+        planes[:, k] = (numbers >> k) & 1
+    return np.packbits(planes, bitorder="little").tobytes()
+
+
+def _unpacked(data: bytes, n: int, bits: int) -> np.ndarray:
+    planes = np.unpackbits(np.frombuffer(data, np.uint8), count=n * bits, bitorder="little").reshape(n, bits)
+    numbers = np.zeros(n, np.int32)
+    for k in range(bits):
+        numbers |= planes[:, k].astype(np.int32) << k
+    return numbers
+
+
+def _shard(number: int, base: int, ids: list, sizes: np.ndarray, flat: np.ndarray) -> pa.RecordBatch:
     symbols, rules, lengths = repair.compress(flat, base)
-    narrow = "<u2" if base + len(rules) <= 1 << 16 else "<u4"
+    bits, length_bits = _width(base + len(rules) - 1), _width(lengths.max() if len(lengths) else 0)
     row = {
         "range": TaskContext.get().partitionId(),
         "shard": number,
@@ -199,10 +221,13 @@ def _shard(number: int, base: int, ids: np.ndarray, sizes: np.ndarray, flat: np.
         "base": base,
         "doc_ids": ids,
         "doc_tokens": sizes,
-        "symbols": symbols.astype(narrow).tobytes(),
-        "symbol_bytes": int(narrow[-1]),
-        "rules": rules.astype("<u4").tobytes(),
-        "lengths": lengths.astype("<u4").tobytes(),
+        "n_symbols": len(symbols),
+        "n_rules": len(rules),
+        "symbol_bits": bits,
+        "length_bits": length_bits,
+        "symbols": _packed(symbols, bits),
+        "rules": _packed(rules, bits),
+        "lengths": _packed(lengths, length_bits),
     }
     return pa.RecordBatch.from_pylist([row], _SHARD_TYPE)
 
@@ -210,7 +235,8 @@ def _shard(number: int, base: int, ids: np.ndarray, sizes: np.ndarray, flat: np.
 _SHARD_TYPE = pa.schema([
     ("range", pa.int32()), ("shard", pa.int32()), ("n_docs", pa.int32()), ("n_tokens", pa.int64()),
     ("base", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int32())),
-    ("symbols", pa.binary()), ("symbol_bytes", pa.int32()), ("rules", pa.binary()), ("lengths", pa.binary()),
+    ("n_symbols", pa.int32()), ("n_rules", pa.int32()), ("symbol_bits", pa.int32()), ("length_bits", pa.int32()),
+    ("symbols", pa.binary()), ("rules", pa.binary()), ("lengths", pa.binary()),
 ])
 
 
@@ -277,15 +303,15 @@ def write_tokens(
 
 
 def _load(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    symbols = np.frombuffer(row["symbols"], f"<u{row['symbol_bytes']}").astype(np.int32)
-    return symbols, np.frombuffer(row["rules"], "<u4").astype(np.int32).reshape(-1, 2)
+    bits = row["symbol_bits"]
+    return _unpacked(row["symbols"], row["n_symbols"], bits), _unpacked(row["rules"], 2 * row["n_rules"], bits).reshape(-1, 2)
 
 
 def read_document(shard: dict, k: int) -> np.ndarray:
     """The ids of the k-th document of a shard row, without expanding the others."""
     ends = np.cumsum(shard["doc_tokens"])
     symbols, rules = _load(shard)
-    lengths = np.frombuffer(shard["lengths"], "<u4").astype(np.int64)
+    lengths = _unpacked(shard["lengths"], shard["n_rules"], shard["length_bits"]).astype(np.int64)
     return repair.slice_ids(symbols, rules, lengths, shard["base"], int(ends[k] - shard["doc_tokens"][k]), int(ends[k]))
 
 
@@ -343,7 +369,7 @@ def read_tokens(spark: SparkSession, path: str, id: str = "doc_id") -> DataFrame
         "range", "shard", (F.col("base_start") + F.col("inner")).alias("first")
     )
     # Shards are decoded where they are read; only the documents' numbers meet the shards' places.
-    needed = shards.select("range", "shard", "n_tokens", "base", "doc_ids", "doc_tokens", "symbols", "symbol_bytes", "rules")
+    needed = shards.drop("lengths", "length_bits")
     with _rows_a_batch(spark, SHARDS_A_BATCH):
         read = staged(
             needed.mapInArrow(

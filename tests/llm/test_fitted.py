@@ -304,3 +304,24 @@ def test_pipeline_equals_its_stages(spark):
     assert len(rows) > 500 and len({x.start for x in rows}) == len(rows)
     total = max(rows, key=lambda x: x.start)
     assert sum(x.n_tokens for x in rows) == total.start + total.n_tokens
+
+
+def test_copies_of_a_passage_share_their_rules():
+    """However many copies there are, and wherever they stand."""
+    r = np.random.default_rng(1)
+    for copies, n in ((4, 20_000), (5, 20_000), (5, 5_000), (10, 3_000)):
+        passage = r.integers(0, 50_000, n)
+        gaps = [r.integers(0, 50_000, r.integers(1, 9)) for _ in range(copies)]
+        ids = np.concatenate([x for gap in gaps for x in (gap, passage)])
+        symbols, rules, _ = repair.compress(ids, 50_257)
+        assert len(symbols) < sum(map(len, gaps)) + 12 * copies
+        assert (repair.expand(symbols, rules, 50_257) == ids).all()
+
+
+def test_packed_numbers():
+    r = np.random.default_rng(2)
+    for bits in (1, 3, 8, 17, 31):
+        for n in (0, 1, 7, 1000):
+            x = r.integers(0, 1 << bits, n)
+            data = token_binary._packed(x, bits)
+            assert len(data) == -(-n * bits // 8) and (token_binary._unpacked(data, n, bits) == x).all()
