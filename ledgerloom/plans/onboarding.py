@@ -195,6 +195,7 @@ class Onboarding:
         self.tables.write("quarantine", gen, _union(held, QUARANTINE, self.spark))
         raw, now_held = self.tables.written(f"raw_{feed}", gen), self.tables.written("quarantine", gen)
         self._resolve(feed, gen, raw, now_held)
+        self._index(feed, gen, raw)
 
         bad = reduce(DataFrame.unionByName, errors)
         per_file = reduce(DataFrame.unionByName, broken)
@@ -209,13 +210,20 @@ class Onboarding:
             return {}
         waiting = q.open_rows(self._held(), self._closed())
         return {
-            f.name: reference_status(
-                q.known_keys(self.raw(f.references[0]), f.references[1]),
-                q.held_keys(waiting, f.references[0]),
-            )
+            f.name: reference_status(self.known(*f.references), q.held_keys(waiting, f.references[0]))
             for f in contract.references
         }
 
+    def known(self, feed: str, field: str) -> DataFrame:
+        """Index of the keys of a feed that other feeds refer to: every value that was ever loaded."""
+        return self._read(f"keys_{feed}_{field}", q.INDEX)
+
+    def _index(self, feed: str, gen: int, raw: DataFrame) -> None:
+        """Add the keys of a step's rows; they become visible with the rows, by the same commit."""
+        every = [c for other in self.registry.feeds for c in self.registry.versions(other)]
+        for field in sorted({f.references[1] for c in every for f in c.references if f.references[0] == feed}):
+            self.tables.write(f"keys_{feed}_{field}", gen, q.new_keys(raw, field, self.known(feed, field)))
+
     def _accepted(self, done: DataFrame, contract: Contract) -> DataFrame:
         flat = done.where(is_accepted()).select(
             "tenant_id",

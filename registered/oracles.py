@@ -371,7 +371,7 @@ oracle(
        cast(o_orderkey as varchar) as transaction_id,
        case o_orderpriority when '1-URGENT' then 'camper_account' when '2-HIGH' then 'cash'
          when '5-LOW' then 'card' else ' ' || lower(o_orderpriority) || '  ' end as payment_method,
-       true as sold_at_missing, 'Sold' as missing_columns from orders""",
+       true as sold_at_missing, 'Shipped' as missing_columns from orders""",
 )
 oracle(
     "validate_rows",

@@ -283,7 +283,7 @@ def _order_tenant(tenant_id: str) -> Tenant:
     feed = {
         "contract": "commissary_transactions@1",
         "files": "*.csv",
-        "columns": {"Receipt #": "transaction_id", "Tender": "payment_method", "Sold": "sold_at"},
+        "columns": {"Order no.": "transaction_id", "Urgency": "payment_method", "Shipped": "sold_at"},
         "values": {"payment_method": {"1-Urgent": "camper_account", "2-High": "cash", "5-low": "card"}},
     }
     return Tenant.from_dict(
@@ -300,7 +300,7 @@ def map_values(spark, d):
         """select o_orderstatus as batch_id, o_orderstatus as tenant_id, 'commissary_transactions' as feed,
            '/in/' || o_orderstatus as path, o_orderstatus as source_file,
            cast('2024-01-01 00:00:00' as timestamp) as loaded_at, '/in/' || o_orderstatus as file_path,
-           array('  RECEIPT   # ', 'tender', 'Clerk') as headers from {orders} group by o_orderstatus""",
+           array('  ORDER   no. ', 'urgency', 'Clerk') as headers from {orders} group by o_orderstatus""",
     )
     records = spark_sql(
         spark,
@@ -348,15 +348,29 @@ def _sales_rows(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _reference_lists(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The two lists that sales refer to: an index of loaded keys, kept step by step, and the keys of rows
+    that wait in quarantine."""
+    statuses = {}
+    lists = (
+        ("store_building_code", "buildings", "building_code", "raw_buildings", "held_buildings"),
+        ("cashier_staff_code", "staff", "staff_code", "raw_staff", "held_staff"),
+    )
+    for name, feed, field, loaded, waiting in lists:
+        path = workspace(spark, f"keys-{feed}")
+        for step in range(2):  # two loads, of which the second brings keys again
+            rows = view(spark, d, loaded).where(F.col("_source_row") % 3 >= 1 - step)
+            index = spark.read.schema(quarantine.INDEX).parquet(path) if step else None
+            quarantine.new_keys(rows, field, index).write.mode("append").parquet(path)
+        index = spark.read.schema(quarantine.INDEX).parquet(path)
+        held = view(spark, d, waiting).select("tenant_id", F.lit(feed).alias("feed"), F.col("code").alias("record_key"))
+        statuses[name] = reference_status(index, quarantine.held_keys(held, feed))
+    return statuses
+
+
 def _sales_validated(spark: SparkSession, d: str) -> DataFrame:
-    buildings = quarantine.known_keys(view(spark, d, "raw_buildings"), "building_code")
-    staff = quarantine.known_keys(view(spark, d, "raw_staff"), "staff_code")
-    statuses = {
-        "store_building_code": reference_status(buildings, view(spark, d, "held_buildings")),
-        "cashier_staff_code": reference_status(staff, view(spark, d, "held_staff")),
-    }
     return validate(
-        _sales_rows(spark, d), SALES, [ParseOptions()], statuses, lambda df: staged(df, "validated")
+        _sales_rows(spark, d), SALES, [ParseOptions()], _reference_lists(spark, d), lambda df: staged(df, "validated")
     )
 
 
