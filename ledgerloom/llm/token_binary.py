@@ -30,7 +30,7 @@ SHARD_IDS = 1 << 20
 #: after that the memory starts anew.
 REMEMBERED = 200_000
 #: Bytes of text encoded at a time; a longer text is encoded by itself.
-SLICE = 1 << 21
+SLICE = 1 << 20
 END_ID = 2
 #: Rows of the Arrow batches that are encoded and decoded.
 TEXTS_A_BATCH, SHARDS_A_BATCH = 1000, 1
