@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, shifted, simhash_counts, simhash_value, staged, words
+from .common import lower_ascii, private, shifted, simhash_counts, simhash_value, staged, words
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Two windows of weighted similarity 0.8 have a cosine of 8/9 or more, hence differ in some
@@ -182,11 +182,13 @@ def contaminated(
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents that match no item, all columns unchanged. Rows without an id are judged by
-    their text like any other."""
+    """The documents that match no item, all columns unchanged, whatever the names of the others. Rows
+    without an id are judged by their text like any other; of repeated rows all stay or none. Null, empty
+    and blank texts stay; either table may be empty."""
+    bad_id, bad_hash = private("id"), private("hash")
     bad = contaminated(docs, items, id, text, **options).select(
-        F.col(id).alias("__id"), F.col("text_hash").alias("__hash")
+        F.col(id).alias(bad_id), F.col("text_hash").alias(bad_hash)
     )
     bad = staged(bad.distinct(), "contaminated")
-    same = F.col(id).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__hash"))
+    same = F.col(id).eqNullSafe(F.col(bad_id)) & (F.xxhash64(F.col(text)) == F.col(bad_hash))
     return docs.join(bad, same, "left_anti")

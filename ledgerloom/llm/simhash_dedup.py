@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, shifted, simhash_counts, simhash_value, staged, words
+from .common import lower_ascii, private, shifted, simhash_counts, simhash_value, staged, words
 from .components import components
 
 #: Members of a bucket up to which its pairs are compared; a larger bucket is split by further
@@ -155,24 +155,21 @@ def keep_one(
 
     Of rows equal in id and text one stays; which, is decided by all their columns. If two different
     texts of a component have the least id, the one with the smaller hash stays. Of a component whose
-    ids are all null one row stays."""
+    ids are all null one row stays. Other columns may have any names; an empty table gives an empty one."""
     names = docs.columns
+    own_hash, best_id, best_hash, copies, row = (private(n) for n in ("text_hash", "id", "hash", "copies", "row"))
     groups = simhash_groups(docs, id, text, shingle, radius)
     best = groups.where(F.col(id).eqNullSafe(F.col("component_id")))
-    chosen = best.groupBy("root").agg(F.min(F.struct("text_hash", id, "copies")).alias("k"))
-    chosen = staged(
-        chosen.select(
-            F.col("k.text_hash").alias("__hash"), F.col(f"k.{id}").alias("__id"), F.col("k.copies").alias("__copies")
-        ),
-        "kept",
+    chosen = best.groupBy("root").agg(F.min(F.struct("text_hash", F.col(id).alias("id"), "copies")).alias("k"))
+    chosen = chosen.select(
+        F.col("k.text_hash").alias(best_hash), F.col("k.id").alias(best_id), F.col("k.copies").alias(copies)
     )
-    hashed = docs.withColumn("__text_hash", F.xxhash64(F.col(text)))
-    kept = hashed.join(
-        chosen, (F.col(id).eqNullSafe(F.col("__id"))) & (F.col("__text_hash") == F.col("__hash"))
-    )
-    once = kept.where("__copies = 1").select(*names)
-    again = kept.where("__copies > 1")
-    rest = [F.col(n) for n in names if n not in (id, "__text_hash")]
-    again = again.groupBy(F.col(id), "__text_hash").agg(F.min(F.struct(*rest)).alias("__row"))
-    again = again.select(*[F.col(id) if n == id else F.col(f"__row.{n}") for n in names])
+    chosen = staged(chosen, "kept")
+    hashed = docs.withColumn(own_hash, F.xxhash64(F.col(text)))
+    kept = hashed.join(chosen, F.col(id).eqNullSafe(F.col(best_id)) & (F.col(own_hash) == F.col(best_hash)))
+    once = kept.where(F.col(copies) == 1).select(*names)
+    again = kept.where(F.col(copies) > 1)
+    rest = [F.col(f"`{n}`") for n in names if n != id]
+    again = again.groupBy(F.col(id), own_hash).agg(F.min(F.struct(*rest)).alias(row))
+    again = again.select(*[F.col(id) if n == id else F.col(f"{row}.`{n}`") for n in names])
     return once.unionByName(again)

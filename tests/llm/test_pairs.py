@@ -213,3 +213,15 @@ def test_words_and_lower_case(spark):
     got = spark.createDataFrame(rows, "t string").select(words(F.col("t")).alias("w"), lower_ascii(F.col("t")).alias("l")).collect()
     assert [list(x.w) for x in got] == [WORD.findall(t or "") for (t,) in rows]
     assert got[3].l == "Àb İz Ⅳq"
+
+
+def test_filters_keep_columns_of_any_name(spark):
+    text, item = "one two three four five six seven eight nine ten", "red orange yellow green blue indigo violet"
+    rows = [(1, text, 5, 6, 7, 8), (2, text, 5, 6, 7, 8), (3, f"so {item} it goes", 1, 1, 1, 1), (3, f"so {item} it goes", 2, 0, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __id int, __hash int, __copies int, __text_hash int")
+    kept = sorted(map(tuple, simhash_dedup.keep_one(docs).collect()))
+    assert kept == [rows[0], min(rows[2:])]
+    items = spark.createDataFrame([("a", item, 1)], "item_id string, text string, __id int")
+    left = sorted(map(tuple, decontamination.decontaminated(docs, items).collect()))
+    assert left == rows[:2]
+    assert simhash_dedup.keep_one(docs.limit(0)).collect() == decontamination.decontaminated(docs.limit(0), items).collect() == []
