@@ -64,7 +64,8 @@ ENDS_P = {
 }
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)",
+    # <!--> and <!---> are whole, empty comments.
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")

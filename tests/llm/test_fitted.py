@@ -325,3 +325,9 @@ def test_packed_numbers():
             x = r.integers(0, 1 << bits, n)
             data = token_binary._packed(x, bits)
             assert len(data) == -(-n * bits // 8) and (token_binary._unpacked(data, n, bits) == x).all()
+
+
+def test_short_comments_are_whole():
+    for page in ("<!--><p>four", "<!---><p>four", "<!-- a --><p>four", "<!----><p>four", "<!-- a --!><p>four"):
+        assert html_extraction._TOKEN.match(page).end() == page.index("<p>")
+    assert html_extraction._TOKEN.match("<!-- open <p>four").end() == len("<!-- open <p>four")
