@@ -83,7 +83,7 @@ def coerce(
         raise ContractError(f"unknown type {type_!r}")
     if type_ == "string":
         value = F.nullif(_string(text, kind), F.lit(""))
-        return Coerced(value, F.lit(None).cast("string"), is_text=True)
+        return Coerced(value, unread(type_, opts), is_text=True)
     zone = F.lit(zone) if isinstance(zone, str) else zone
     rules = {
         "integer": lambda t: _integer(t, opts, kind),
@@ -101,10 +101,17 @@ def coerce(
             ),
         ),
     )
+    return Coerced(cell, unread(type_, opts, kind))
+
+
+def unread(type_: str, opts: ParseOptions, kind: Column | None = None) -> Column:
+    """What to say of a cell that can't be read as the type; any text can be read as a string."""
+    if type_ == "string":
+        return F.lit(None).cast("string")
     message = F.lit(expected(type_, opts))
     if kind is not None and type_ in ("date", "timestamp"):
         message = F.when(kind.isin(*NUMBER_KINDS), EXPECTED["date"]).otherwise(message)
-    return Coerced(cell, message)
+    return message
 
 
 def stored(value: Column, type_: str) -> Column:
