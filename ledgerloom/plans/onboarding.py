@@ -20,7 +20,7 @@ from ..functions.keys import record_key
 from ..functions.timeutil import ntz, utc_now
 from ..operators import quarantine as q
 from ..operators.mapping import config_frame, file_layouts, map_columns, parse_profiles
-from ..operators.reports import needs_report, rows_to_fix, violation_groups, write_rows_to_fix
+from ..operators.reports import listings, needs_report, violation_groups, write_listings
 from ..operators.upgrade import upgrade
 from ..operators.validate import (
     VIOLATION,
@@ -84,8 +84,8 @@ class Onboarding:
     # What is in the raw layer
 
     def _read(self, table: str, schema: str) -> DataFrame:
-        df = self.tables.read(table, schema=schema)
-        return self.spark.createDataFrame([], schema) if df is None else df.drop("gen")
+        df, none = self.tables.read(table, schema=schema), self.spark.createDataFrame([], schema)
+        return none if df is None else df.select(*none.columns)
 
     def raw(self, feed: str) -> DataFrame:
         return self._read(f"raw_{feed}", raw_schema(self.registry.latest(feed)))
@@ -109,16 +109,21 @@ class Onboarding:
 
     def pending(self, landing: str) -> DataFrame:
         """Files not ingested before, with their fingerprint."""
-        found = discover(self.spark, landing, self.tenants)
-        return new_files(fingerprints(self.spark, found), self.batches())
+        return new_files(self._landed(landing), self.batches())
+
+    def _landed(self, landing: str) -> DataFrame:
+        return fingerprints(self.spark, discover(self.spark, landing, self.tenants))
 
     def ingest(
         self, landing: str, cells: DataFrame | None = None, run_at: dt.datetime | None = None
     ) -> DataFrame:
         """Ingest everything new under ``landing``. ``cells`` holds the content of spreadsheet
-        files (see ``sources.cells``). Returns the batches of this run."""
+        files (see ``sources.cells``). Returns the batches of this run; :meth:`results` has the
+        skipped files as well."""
         run_at = run_at or utc_now()
-        files = staged(self._batches_of(self.pending(landing), run_at), "files")
+        landed = staged(self._landed(landing), "landed")
+        files = staged(self._batches_of(new_files(landed, self.batches()), run_at), "files")
+        self._skipped = landed.join(files.select("feed", "path"), ["feed", "path"], "left_anti")
         present = {(r["feed"], r["tenant_id"]) for r in files.select("feed", "tenant_id").distinct().collect()}
         before = self.tables.last()
         for feed in self.registry.load_order():
@@ -126,7 +131,17 @@ class Onboarding:
             if tenants:
                 self._ingest_feed(feed, tenants, files.where(F.col("feed") == feed), cells, run_at)
         new = self.tables.read("ingest_batches", since=before + 1)
-        return self.spark.createDataFrame([], BATCHES) if new is None else new.drop("gen")
+        self._new = self.spark.createDataFrame([], BATCHES) if new is None else new.drop("gen")
+        return self._new
+
+    def results(self) -> DataFrame:
+        """What came of each file that the last run found. Files whose content was ingested before, or that
+        repeat another file of the run, are ``skipped``; they leave no batch behind."""
+        none = F.lit(0).cast("bigint")
+        counts = ["rows_received", "rows_loaded", "rows_quarantined", "rows_resolved"]
+        same = ["tenant_id", "feed", "source_file", "file_sha256"]
+        skipped = self._skipped.select(*same, *[none.alias(c) for c in counts], F.lit("skipped").alias("status"))
+        return self._new.select(*same, *counts, "status").unionByName(skipped)
 
     def _batches_of(self, files: DataFrame, run_at: dt.datetime) -> DataFrame:
         # Files of a tenant's feed load oldest first; a microsecond apart keeps them in order.
@@ -191,9 +206,11 @@ class Onboarding:
                     "batch_id", "unmapped_columns", missing_columns(contract).alias("file_violations")
                 )
             )
-        self.tables.write(f"raw_{feed}", gen, _union(accepted, "", self.spark))
-        self.tables.write("quarantine", gen, _union(held, QUARANTINE, self.spark))
-        raw, now_held = self.tables.written(f"raw_{feed}", gen), self.tables.written("quarantine", gen)
+        # One folder a tenant: who reads one tenant's rows opens no other's files.
+        self.tables.write(f"raw_{feed}", gen, _union(accepted, "", self.spark), ["tenant_id"])
+        self.tables.write("quarantine", gen, _union(held, QUARANTINE, self.spark), ["tenant_id"])
+        raw = self.tables.written(f"raw_{feed}", gen, raw_schema(self.registry.latest(feed)))
+        now_held = self.tables.written("quarantine", gen, QUARANTINE)
         self._resolve(feed, gen, raw, now_held)
         self._index(feed, gen, raw)
 
@@ -322,8 +339,8 @@ class Onboarding:
     def _report(
         self, feed: str, gen: int, tenants: list[Tenant], checked: dict[str, DataFrame], batches: DataFrame
     ) -> None:
-        """Per-step report data: batch summaries, problem groups, and rows to fix per tenant. A repeated
-        step overwrites what it left."""
+        """Per-step report data: batch summaries, problem groups, and the rows to fix of all tenants, one
+        write a contract version. A repeated step overwrites what it left."""
         wanted = needs_report(batches)
         where = f"{self.reports}/{feed}/gen={gen}"
         wanted.write.mode("overwrite").partitionBy("tenant_id", "batch_id").json(f"{where}/batches")
@@ -331,13 +348,8 @@ class Onboarding:
         rejected = [df.where(F.size("violations") > 0).select(*columns) for df in checked.values()]
         groups = violation_groups(reduce(DataFrame.unionByName, rejected))
         groups.write.mode("overwrite").json(f"{where}/problems")
-        with_rows = wanted.where((F.col("status") == "loaded_with_errors")).select("tenant_id").distinct()
-        ids = {r["tenant_id"] for r in with_rows.collect()}
-        for t in tenants:
-            if t.tenant_id in ids:
-                cfg = t.feeds[feed]
-                mine = checked[cfg.contract].where(
-                    (F.col("tenant_id") == t.tenant_id) & (F.size("violations") > 0)
-                )
-                listing = rows_to_fix(mine, self.registry.get(cfg.contract), cfg.labels)
-                write_rows_to_fix(listing, f"{where}/rows_to_fix/{t.tenant_id}")
+        for ref, rows in checked.items():
+            contract = self.registry.get(ref)
+            labels = {t.tenant_id: t.feeds[feed].labels for t in tenants if t.feeds[feed].contract == ref}
+            lists = listings(rows.where(F.size("violations") > 0), contract, labels)
+            write_listings(lists, f"{where}/rows_to_fix/version={contract.version}")

@@ -3,48 +3,54 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from fnmatch import fnmatchcase
+from fnmatch import translate
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Tenant
-from .delimited import literal_path, plain_path, same_path
+from .delimited import bare_path, literal_path, plain_path, same_path
 
 FILE_COLUMNS = (
     "tenant_id string, feed string, path string, source_file string, file_size bigint, "
     "modified_at timestamp"
 )
 
+def _pattern(glob: str) -> str:
+    """The regular expression of a file pattern, for names as a whole."""
+    return translate(glob).removesuffix("\\Z").removesuffix("\\z") + "\\z"
+
 
 def discover(spark: SparkSession, landing: str, tenants: Iterable[Tenant]) -> DataFrame:
     """Files waiting under ``<landing>/<tenant>/`` that match a feed's pattern.
 
-    Only the listing runs on the driver; contents are read by the jobs that follow.
+    Spark's file source lists the folder, in parallel where it has many sub-folders, and no content is
+    read; the feeds' patterns are a table that the listing is joined to. A file that matches the patterns of
+    two feeds counts for both. Names that begin with ``_`` or ``.`` are files still on their way. A landing
+    folder that does not exist yet holds no files.
     """
+    patterns = spark.createDataFrame(
+        [(t.tenant_id, feed, _pattern(cfg.files)) for t in tenants for feed, cfg in t.feeds.items()],
+        "tenant_id string, feed string, pattern string",
+    )
     root = spark._jvm.org.apache.hadoop.fs.Path(landing)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    rows = []
-    for tenant in tenants:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(root, tenant.tenant_id)
-        if not fs.exists(folder):
-            continue
-        for status in fs.listStatus(folder):
-            name = status.getPath().getName()
-            for feed, cfg in tenant.feeds.items():
-                if status.isFile() and fnmatchcase(name, cfg.files):
-                    rows.append(
-                        (
-                            tenant.tenant_id,
-                            feed,
-                            status.getPath().toString(),
-                            name,
-                            status.getLen(),
-                            status.getModificationTime(),
-                        )
-                    )
-    raw = spark.createDataFrame(rows, FILE_COLUMNS.replace("modified_at timestamp", "ms bigint"))
-    return raw.withColumn("modified_at", F.timestamp_millis("ms")).drop("ms")
+    if not fs.exists(root):
+        return spark.createDataFrame([], FILE_COLUMNS)
+    base = F.lit(fs.makeQualified(root).toString())
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(literal_path(landing))
+    below = F.substr(bare_path(F.col("path")), F.length(bare_path(base)) + 2)
+    found = listed.select(
+        F.split(below, "/").alias("parts"),
+        "path",
+        F.col("length").alias("file_size"),
+        F.col("modificationTime").alias("modified_at"),
+    ).where(F.size("parts") == 2)
+    named = found.select(
+        F.col("parts")[0].alias("tenant_id"), F.col("parts")[1].alias("source_file"), "path", "file_size", "modified_at"
+    )
+    mine = named.join(patterns, "tenant_id").where(F.rlike("source_file", F.col("pattern")))
+    return mine.select("tenant_id", "feed", "path", "source_file", "file_size", "modified_at")
 
 
 def _paths(files: DataFrame) -> list[str]:

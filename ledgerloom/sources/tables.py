@@ -84,9 +84,11 @@ class Tables:
             reader = reader.schema(f"{schema}, {GEN} int")
         return reader.parquet(*paths)
 
-    def written(self, table: str, gen: int) -> DataFrame:
-        """What this run wrote for a table, before its commit: reading it back cuts the lineage."""
+    def written(self, table: str, gen: int, schema: str | None = None) -> DataFrame:
+        """What this run wrote for a table, before its commit: reading it back cuts the lineage. Tables in
+        partitions need their ``schema``: names of folders alone do not tell a column's type."""
         path = f"{self.root}/{table}"
-        return self.spark.read.option("basePath", path).parquet(f"{path}/{GEN}={gen}").withColumn(
-            GEN, F.lit(gen)
-        )
+        reader = self.spark.read.option("basePath", path)
+        if schema:
+            reader = reader.schema(f"{schema}, {GEN} int")
+        return reader.parquet(f"{path}/{GEN}={gen}").withColumn(GEN, F.lit(gen))

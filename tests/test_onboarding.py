@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from ledgerloom.config import lint
 from ledgerloom.contracts import registry
 from ledgerloom.plans import monitoring, staging
-from ledgerloom.operators.reports import write_rows_to_fix
+from ledgerloom.operators import reports
 from ledgerloom.plans.onboarding import Onboarding
-from ledgerloom.sources.files import fingerprints
+from ledgerloom.sources.files import discover, fingerprints
 from ledgerloom.sources.tables import Tables
 
 RUN_1, RUN_2 = dt.datetime(2024, 7, 6, 12), dt.datetime(2024, 7, 7, 12)
@@ -103,7 +103,7 @@ def test_loaded_rows_are_typed_and_upgraded(first, job):
 
 def test_reports_use_the_tenants_own_columns(first, spark, job):
     base = f"{job.reports}/buildings/*/"
-    listing = spark.read.option("header", True).csv(base + "rows_to_fix/fleuve/*/*.csv")
+    listing = spark.read.option("header", True).csv(base + "rows_to_fix/*/tenant_id=fleuve/*/*/*.csv")
     assert listing.columns[:3] == ["Row in your file", "Code du bâtiment", "Nom"]
     (row,) = listing.collect()
     assert row[0] == "4" and row["What to fix"] == "Nom is blank, and every row needs one."
@@ -121,6 +121,9 @@ def test_reports_use_the_tenants_own_columns(first, spark, job):
 def test_same_files_again_are_skipped(first, job, landing, spark):
     assert job.pending(str(landing)).count() == 0
     assert job.ingest(str(landing), write_sheet(spark, landing, 1_700_000_100), RUN_1).count() == 0
+    told = job.results().collect()
+    assert {r.source_file for r in told} == set(first) and {r.status for r in told} == {"skipped"}
+    assert {r.rows_received + r.rows_loaded + r.rows_quarantined + r.rows_resolved for r in told} == {0}
 
 
 def test_corrections_close_the_quarantine(first, job, landing, spark):
@@ -225,8 +228,55 @@ def test_fingerprints_follow_content_alone(spark, tmp_path):
     assert len(set(seen[0].values())) == 4
 
 
-def test_rows_to_fix_are_written_as_they_are(spark, tmp_path):
-    rows = spark.createDataFrame([("b1", 2, " a ", 'say "x"')], "batch_id string, `Row in your file` bigint, Name string, Fix string")
-    write_rows_to_fix(rows, str(tmp_path / "out"))
-    (part,) = (tmp_path / "out" / "batch_id=b1").glob("*.csv")
+def test_listings_are_written_as_they_are(spark, tmp_path):
+    schema = "tenant_id string, batch_id string, part int, nth bigint, c0 string, c1 string, c2 string"
+    rows = [("t", "b1", 0, 2, "2", " a ", 'say "x"'), ("t", "b1", 0, -1, "\ufeffRow in your file", "Name", "Fix")]
+    reports.write_listings(spark.createDataFrame(rows, schema), str(tmp_path / "out"))
+    (part,) = (tmp_path / "out" / "tenant_id=t" / "batch_id=b1" / "part=0").glob("*.csv")
     assert part.read_bytes().decode("utf-8") == '\ufeffRow in your file,Name,Fix\n2, a ,"say ""x"""\n'
+
+
+def test_each_part_of_a_long_listing_has_its_header(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(reports, "LINES_A_FILE", 3)
+    contract = registry().get("buildings@1")
+    rejected = spark.range(2, 9).selectExpr(
+        "'t' || id % 2 as tenant_id", "'b' || id % 2 as batch_id", "id as source_row",
+        "map('building_code', 'B-' || id) as raw", "array(named_struct('message', 'no. ' || id)) as violations",
+        "array() as file_violations",
+    )
+    labels = {"t0": {"building_code": "Code"}, "t1": {"building_code": "Kode"}}
+    reports.write_listings(reports.listings(rejected, contract, labels), str(tmp_path / "out"))
+    seen = {}
+    for path in (tmp_path / "out").glob("*/*/*/*.csv"):
+        head, *rows = path.read_text("utf-8").splitlines()
+        seen[path.parent.parent.parent.name, path.parent.name] = (head.split(",")[1], [r.split(",")[1] for r in rows])
+    assert seen == {
+        ("tenant_id=t0", "part=0"): ("Code", ["B-2"]), ("tenant_id=t0", "part=1"): ("Code", ["B-4"]),
+        ("tenant_id=t0", "part=2"): ("Code", ["B-6", "B-8"]), ("tenant_id=t1", "part=1"): ("Kode", ["B-3", "B-5"]),
+        ("tenant_id=t1", "part=2"): ("Kode", ["B-7"]),
+    }
+
+
+def test_only_files_of_a_tenant_and_pattern_are_found(spark, tmp_path):
+    names = (
+        "northwood/Facilities a.csv", "northwood/facilities.csv", "northwood/Facilities.csv.part",
+        "northwood/old/Facilities.csv", "northwood/_Facilities.csv", "nobody/Facilities.csv",
+        "fleuve/batiments[1] 100%+.csv", "Facilities.csv", "_events/x.json",
+    )
+    for name in names:
+        path = tmp_path / "in [new]" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("x")
+    found = discover(spark, str(tmp_path / "in [new]"), TENANTS).collect()
+    assert {(r.tenant_id, r.feed, r.source_file, r.file_size) for r in found} == {
+        ("northwood", "buildings", "Facilities a.csv", 1), ("fleuve", "buildings", "batiments[1] 100%+.csv", 1),
+    }
+    assert discover(spark, str(tmp_path / "not yet"), TENANTS).count() == 0
+
+
+def test_a_tenants_rows_lie_in_its_own_folders(first, job):
+    for rows in (job.raw("buildings"), job.quarantine(), job.open_quarantine()):
+        mine = rows.where("tenant_id = 'fleuve'")
+        assert mine.count() and {r.tenant_id for r in mine.collect()} == {"fleuve"}
+    plan = job.raw("buildings").where("tenant_id = 'fleuve'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(tenant_id" in plan
