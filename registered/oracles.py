@@ -128,8 +128,29 @@ CTES["loads"] = """select distinct tenant_id, record_key, batch_id, sent_on from
 CTES["held"] = """select h.*, (select min(l.sent_on) from loads l where l.tenant_id = h.tenant_id
     and l.record_key = h.record_key and l.sent_on > h.sent_on) as resolved_at
   from ruled h where rules <> '' or lacks_payment"""
+# Onboarding. Row numbers count the header; a building's clean repetition in a file is a duplicate.
+CTES["landed_buildings"] = """select *, concat_ws(',',
+    if(name = '', 'required', null), if(kind = 'Yurt', 'not_allowed', null),
+     if(name <> '' and kind <> 'Yurt' and again = 1, 'duplicate_key', null)) as rules
+  from (select *, 1 + row_number() over (partition by tenant_id, file order by again, k) as source_row from sent_buildings)"""
+CTES["landed_assets"] = """select *, concat_ws(',',
+    if(bought = 'soon', 'invalid_type', null), if(home_unknown, 'unknown_reference', null),
+     if(home_held and not (step = 2 and home_mended), 'held_reference', null)) as rules
+  from (select *, 1 + row_number() over (partition by tenant_id, file order by k) as source_row from sent_assets)"""
+CTES["landed"] = """select tenant_id, 'buildings' as feed, file as source_file, step, source_row, code as record_key,
+    rules, name as building_name from landed_buildings
+  union all
+  select tenant_id, 'assets', file, step, source_row, tag, rules, '' from landed_assets"""
+CTES["closed"] = """select h.*, l.source_file as resolved_by
+  from (select * from landed where rules <> '') h
+  left join (select tenant_id, feed, record_key, source_file from landed where rules = '' and step = 2) l
+    on h.step = 1 and l.tenant_id = h.tenant_id and l.feed = h.feed and l.record_key = h.record_key"""
 
 _USES = {
+    "landed_buildings": ["sent_buildings"],
+    "landed_assets": ["sent_assets"],
+    "landed": ["landed_buildings", "landed_assets"],
+    "closed": ["landed"],
     "sales_texts": ["raw_sales"],
     "checked": ["sales_texts"],
     "first_rows": ["checked"],
@@ -444,3 +465,62 @@ oracle(
 ORACLES["incremental_fct_maintenance_events"] = ORACLES["fct_maintenance_events"]
 ORACLES["incremental_waterfront_checks"] = ORACLES["fct_waterfront_checks"]
 oracle("streamed_dedupe", "select * from ev", "ev", ts=_EV_TS, money=_EV_MONEY)
+
+oracle(
+    "pending_files",
+    "select distinct tenant_id, feed, source_file from landed where step = 1", "landed",
+)
+oracle(
+    "results_of_runs",
+    """select tenant_id, feed, source_file, count(*) as rows_received, count(*) filter (rules = '') as rows_loaded,
+         count(*) filter (rules <> '') as rows_quarantined,
+         (select count(*) from closed c where c.tenant_id = l.tenant_id and c.feed = l.feed
+            and c.resolved_by = l.source_file) as rows_resolved,
+         if(count(*) filter (rules <> '') > 0, 'loaded_with_errors', 'loaded') as status, step as run
+       from landed l group by tenant_id, feed, source_file, step
+       union all
+       select distinct tenant_id, feed, source_file, 0, 0, 0, 0, 'skipped', 2 from landed where step = 1
+       union all
+       select distinct tenant_id, feed, replace(source_file, 's-1-', 's-copy-'), 0, 0, 0, 0, 'skipped', 2
+       from landed where step = 1 and feed = 'buildings'""",
+    "landed", "closed",
+)
+oracle(
+    "raw_after_ingest",
+    """select tenant_id, tag as asset_tag, name as asset_name, 'other' as category, home as building_code,
+         strptime(bought, '%m/%d/%Y') as purchased_on, cast(replace(price, '$', '') as decimal(12,2)) as purchase_cost,
+         'in_service' as status, file as source_file, source_row, 1 as contract_version
+       from landed_assets where rules = ''""",
+    "landed_assets", day="purchased_on", money="purchase_cost",
+)
+oracle(
+    "quarantine_after_ingest",
+    """select tenant_id, feed, source_file, source_row, record_key, rules, building_name, resolved_by from closed""",
+    "closed",
+)
+oracle(
+    "open_quarantine",
+    """select tenant_id, feed, source_file, source_row, record_key from closed
+       where tenant_id = 'ASIA' and resolved_by is null""",
+    "closed",
+)
+oracle(
+    "rows_to_fix",
+    """select tenant_id, file as source_file, source_row, code, name as house,
+         if(rules = 'duplicate_key', 'Code ' || chr(39) || code || chr(39) || ' already appears on row ' || first_row
+              || '. We kept row ' || first_row || '.',
+            concat_ws(' ', if(name = '', 'House is blank, and every row needs one.', null),
+              if(kind = 'Yurt', chr(39) || 'Yurt' || chr(39) || ' isn' || chr(39)
+                || 't a recognised Used as. Check the spelling or ask us to add it.', null))) as fix
+       from (select *, min(source_row) over (partition by tenant_id, file, code) as first_row from landed_buildings)
+       where rules <> ''""",
+    "landed_buildings",
+)
+oracle(
+    "run_totals",
+    """select (select count(distinct (tenant_id, feed, source_file)) from landed where step = 2) as files,
+         0 as rejected, (select count(*) from landed where step = 2 and rules = '') as rows_loaded,
+         (select count(*) from landed where step = 2 and rules <> '') as rows_quarantined,
+         (select count(*) from closed where resolved_by is not null) as rows_resolved""",
+    "landed", "closed",
+)

@@ -18,9 +18,12 @@ from ledgerloom.operators.upgrade import upgrade
 from ledgerloom.operators.validate import batch_status as status_of
 from ledgerloom.operators.validate import is_accepted, reference_status, validate
 from ledgerloom.plans import dims, events, facts, monitoring, reporting, staging
+from ledgerloom.plans.onboarding import Onboarding
+from ledgerloom.sources.files import pending_tenants
 from ledgerloom.session import staged, workspace
 from ledgerloom.streaming.bucketed import BucketedMarts, start
 
+from .landing import land, runs, tenants
 from .views import spark_sql, table, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -474,6 +477,78 @@ def contract_upgrade(spark, d):
     return upgrade(v1, registry.get("assets@1"), registry)
 
 
+# Onboarding: files written from the given tables, ingested in two runs
+
+@query
+def pending_files(spark, d):
+    """What waits in the landing folder before the first run, of files that match a pattern."""
+    folder = workspace(spark, "landing")
+    land(spark, d, folder, 1)
+    job = Onboarding(spark, workspace(spark, "raw"), contracts.registry(), tenants(spark, d))
+    fresh = staged(job.pending(folder), "pending")
+    return fresh.join(pending_tenants(fresh), "tenant_id").select("tenant_id", "feed", "source_file")
+
+
+@query
+def results_of_runs(spark, d):
+    """What came of each file in both runs, skipped files included."""
+    return runs(spark, d).results.drop("file_sha256")
+
+
+@query
+def raw_after_ingest(spark, d):
+    """Assets of both runs, typed and upgraded to the latest contract."""
+    return runs(spark, d).job.raw("assets").select(
+        "tenant_id", "asset_tag", "asset_name", "category", "building_code", "purchased_on", "purchase_cost",
+        "status", F.col("_source_file").alias("source_file"), F.col("_source_row").alias("source_row"),
+        F.col("_contract_version").alias("contract_version"),
+    )
+
+
+@query
+def quarantine_after_ingest(spark, d):
+    """Every held row, its rules and cells, and the file that closed it."""
+    done = runs(spark, d)
+    by = done.files().select(F.col("batch_id").alias("resolved_batch_id"), F.col("source_file").alias("resolved_by"))
+    rules = F.from_json("violations", "array<struct<rule:string>>")["rule"]
+    name = F.when(F.col("feed") == "buildings", F.get_json_object("record", "$.building_name"))
+    return done.job.quarantine().join(by, "resolved_batch_id", "left").select(
+        "tenant_id", "feed", "source_file", "source_row", "record_key", F.array_join(rules, ",").alias("rules"),
+        F.coalesce(name, F.lit("")).alias("building_name"), "resolved_by",
+    )
+
+
+@query
+def open_quarantine(spark, d):
+    """Rows that still wait on a fix, of the tenant ASIA only."""
+    return runs(spark, d).job.open_quarantine("ASIA").select("tenant_id", "feed", "source_file", "source_row", "record_key")
+
+
+@query
+def rows_to_fix(spark, d):
+    """The listings for tenants as written, read back from the files."""
+    done = runs(spark, d)
+    files = f"{done.job.reports}/buildings/*/rows_to_fix"
+    lists = spark.read.option("header", True).option("escape", '"').csv(f"{files}/*/*/*/*")
+    batch = F.regexp_extract(F.input_file_name(), "batch_id=([^/]*)", 1)
+    told = lists.select(
+        batch.alias("batch_id"), F.col("Row in your file").cast("bigint").alias("source_row"), F.col("Code").alias("code"),
+        F.coalesce("House", F.lit("")).alias("house"), F.col("What to fix").alias("fix"),
+    )
+    return told.join(done.job.batches().select("batch_id", "tenant_id", "source_file"), "batch_id").drop("batch_id")
+
+
+@query
+def run_totals(spark, d):
+    """Totals of the second run."""
+    job = runs(spark, d).job
+    second = job.batches().where(F.col("started_at") == F.lit(dt.datetime(2024, 1, 2)).cast("timestamp_ntz"))
+    closed = job.quarantine().join(
+        second.select(F.col("batch_id").alias("resolved_batch_id")), "resolved_batch_id", "left_semi"
+    )
+    return monitoring.run_summary(second, closed)
+
+
 # Incremental and streaming
 
 def _streamed(spark: SparkSession, d: str, batches: int, wanted: list[str], by_marks: bool = False) -> BucketedMarts:

@@ -180,11 +180,60 @@ from {customer} c join {nation} n on c.c_nationkey = n.n_nationkey
 join {region} r on n.n_regionkey = r.r_regionkey where c.c_acctbal < 0
 """
 
+# Exports that land in two steps; files are cut by ranges of keys. Buildings without a name or of a kind
+# nobody knows are held, every second one of them is corrected by the second step; some rows come twice.
+SENT_BUILDINGS = """
+with own as (
+  select r.r_name as tenant_id, s.s_suppkey as k, s.s_name, s.s_acctbal, s.s_acctbal < 0 as nameless,
+         s.s_suppkey % 11 = 3 as odd
+  from {supplier} s join {nation} n on s.s_nationkey = n.n_nationkey
+  join {region} r on n.n_regionkey = r.r_regionkey
+), sent as (
+  select *, 1 as step, 0 as again from own
+  union all
+  select *, 1 as step, 1 as again from own where k % 13 = 5
+  union all
+  select *, 2 as step, 0 as again from own where (nameless or odd) and k % 2 = 0
+)
+select tenant_id, step, again, k, 'buildings-' || cast(step as string) || '-'
+         || cast(cast(floor(k / 100000.0) as int) as string) || '.csv' as file,
+       'SUP-' || cast(k as string) as code, case when nameless and step = 1 then '' else s_name end as name,
+       case when odd and step = 1 then 'Yurt' when s_acctbal > 5000 then 'camp  STORE' else ' Cabin' end as kind,
+       cast(k % 500 as int) as beds
+from sent
+"""
+
+# Parts in the building numbered like their size; those whose building was held are sent again.
+SENT_ASSETS = """
+with own as (
+  select p.p_partkey as k, p.p_name, p.p_retailprice, p.p_size, coalesce(r.r_name, 'AFRICA') as tenant_id,
+         coalesce(s.s_acctbal < 0 or s.s_suppkey % 11 = 3, false) as home_held,
+         s.s_suppkey is null as home_unknown
+  from {part} p left join {supplier} s on p.p_size = s.s_suppkey
+  left join {nation} n on s.s_nationkey = n.n_nationkey
+  left join {region} r on n.n_regionkey = r.r_regionkey
+), sent as (
+  select *, 1 as step from own
+  union all
+  select *, 2 as step from own where home_held
+)
+select tenant_id, step, 0 as again, k, 'assets-' || cast(step as string) || '-'
+         || cast(cast(floor(k / 100000.0) as int) as string) || '.csv' as file,
+       'PRT-' || cast(k as string) as tag, p_name as name, 'SUP-' || cast(p_size as string) as home,
+       case when k % 19 = 2 then 'soon'
+            else cast(k % 12 + 1 as string) || '/' || cast(k % 28 + 1 as string) || '/2021' end as bought,
+       '$' || cast(cast(p_retailprice as decimal(12,2)) as string) as price, home_held, home_unknown,
+       p_size % 2 = 0 and home_held as home_mended
+from sent
+"""
+
 VIEWS = {
     "amount_texts": AMOUNT_TEXTS,
     "date_texts": DATE_TEXTS,
     "time_texts": TIME_TEXTS,
     "sales_texts": SALES_TEXTS,
+    "sent_buildings": SENT_BUILDINGS,
+    "sent_assets": SENT_ASSETS,
     "held_buildings": HELD_BUILDINGS,
     "held_staff": HELD_STAFF,
     "tenants": TENANTS,
