@@ -33,7 +33,7 @@ from ..operators.validate import (
 )
 from ..session import staged
 from ..sources.cells import read_cells
-from ..sources.delimited import read_delimited, same_path
+from ..sources.delimited import read_delimited, same_path, unusable
 from ..sources.files import discover, fingerprints, new_files
 from ..sources.tables import Tables
 
@@ -158,13 +158,14 @@ class Onboarding:
     def _scan(
         self, fmt: SourceFormat, files: DataFrame, cells: DataFrame | None
     ) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """What cannot be read is reported for its own files and holds up no other tenant's."""
+        paths = [r["path"] for r in files.select("path").toLocalIterator()]
         if fmt.type == "csv":
-            paths = [r["path"] for r in files.select("path").toLocalIterator()]
             return read_delimited(self.spark, paths, fmt)
         if fmt.type != "excel":
-            raise ValueError(f"unsupported format {fmt.type!r}")
+            return unusable(self.spark, paths, f"we can't read files of type {fmt.type!r}")
         if cells is None:
-            raise ValueError("spreadsheet files need their cells")
+            return unusable(self.spark, paths, "the workbook's cells didn't arrive with it")
         mine = cells.join(files, same_path(cells["file_path"], files["path"]), "left_semi")
         return read_cells(mine, fmt)
 

@@ -1,8 +1,8 @@
 """Delimited files as numbered records of text cells.
 
 Files are read line by line with the splittable text source, so a file of any size spreads over
-many tasks. Lines arrive as raw bytes and are decoded in the expression, which covers every
-encoding that keeps ASCII. Record numbers count blank records, as a spreadsheet does:
+many tasks. Lines arrive as raw bytes and are decoded in the expression (see
+``functions.encodings``). Record numbers count blank records, as a spreadsheet does:
 
 * position inside a split comes from ``monotonically_increasing_id``,
 * offsets of the splits of a file come from one row per split,
@@ -18,28 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import SourceFormat
+from ..functions.encodings import decoded, is_known, line_end
 from ..functions.text import is_blank, strip
 from ..session import workspace
 
-# Python codec names as tenants configure them, and what Spark calls them.
-_CHARSETS = {
-    "utf-8": "UTF-8",
-    "utf8": "UTF-8",
-    "utf-8-sig": "UTF-8",
-    "ascii": "US-ASCII",
-    "latin-1": "ISO-8859-1",
-    "latin1": "ISO-8859-1",
-    "iso-8859-1": "ISO-8859-1",
-}
-
-
-def charset(encoding: str) -> str:
-    name = _CHARSETS.get(encoding.lower())
-    if name is None:
-        raise ValueError(f"unsupported encoding {encoding!r}")
-    return name
-
-
 def _field(d: str) -> tuple[str, str, str]:
     """Regular expressions of an unquoted cell, a quoted cell and an opened one."""
     plain = rf'(?:(?!")[^{d}]*+)'
@@ -77,21 +59,17 @@ def literal_path(path: str) -> str:
 def _lines(spark: SparkSession, paths: Sequence[str], fmt: SourceFormat) -> DataFrame:
     # The split and the position in it identify a line. The id must be taken directly on the
     # scan, before anything can drop a row.
-    raw = spark.read.text([literal_path(p) for p in paths]).select(
+    reader, end = spark.read, line_end(fmt.encoding)
+    if end is not None:
+        reader = reader.option("lineSep", end)
+    raw = reader.text([literal_path(p) for p in paths]).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").cast("binary").alias("bytes"),
     )
-    name, as_text = charset(fmt.encoding), F.col("bytes").cast("string")
-    if name == "ISO-8859-1":
-        ok, text = F.lit(True), F.decode("bytes", name)
-    else:
-        # Other bytes make the file unreadable; here they only must not fail the job.
-        ok = F.is_valid_utf8(as_text)
-        if name == "US-ASCII":
-            ok = ok & (F.length("bytes") == F.length(as_text))
-        text = F.when(ok, as_text).otherwise("")
+    # Other bytes make the file unreadable; here they only must not fail the job.
+    ok, text = decoded(F.col("bytes"), fmt.encoding)
     lines = raw.select("file_path", "block", "pos", ok.alias("ok"), text.alias("line"))
     # Written once: both passes below must see the same splits, and how a scan is split depends
     # on the cores present when it is planned.
@@ -212,6 +190,15 @@ def _cells(text: Column, d: str, delimiter: str) -> Column:
     return F.when(F.contains(text, F.lit('"')), F.transform(tokens, clean)).otherwise(simple)
 
 
+def unusable(spark: SparkSession, paths: Sequence[str], message: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Files of which none can be read, in the shape of :func:`read_delimited`."""
+    return (
+        spark.createDataFrame([], "file_path string, source_row bigint, cells array<string>"),
+        spark.createDataFrame([], "file_path string, path string, headers array<string>"),
+        spark.createDataFrame([(p, message) for p in paths], "path string, message string"),
+    )
+
+
 def read_delimited(
     spark: SparkSession, paths: Sequence[str], fmt: SourceFormat
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -224,6 +211,8 @@ def read_delimited(
     Blank records are dropped but numbered; the header is the first non-blank record numbered
     ``header_row`` or later; records before it are titles.
     """
+    if not is_known(fmt.encoding):
+        return unusable(spark, paths, f"we don't know the encoding {fmt.encoding!r}")
     d = _escape(fmt.delimiter)
     lines, per_file = _number_lines(_lines(spark, paths, fmt), d)
     text = F.when(F.col("line_no") == 0, F.regexp_replace("line", "\\A\ufeff", "")).otherwise(F.col("line"))
