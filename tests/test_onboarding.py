@@ -3,13 +3,14 @@
 import datetime as dt
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from onboarding_fixture import ROUND_1, ROUND_2, TENANTS, write, write_sheet
 
 from pyspark.sql import functions as F
 
-from ledgerloom.config import lint
+from ledgerloom.config import SourceFormat, lint
 from ledgerloom.contracts import registry
 from ledgerloom.plans import monitoring, staging
 from ledgerloom.operators import reports
@@ -177,6 +178,19 @@ def test_a_run_that_died_is_repeated(spark, tmp_path):
     assert (job.raw("buildings").count(), job.quarantine().count()) == (1, 1)
 
 
+def test_an_unknown_encoding_holds_up_no_other_tenant(spark, tmp_path):
+    landing = tmp_path / "landing"
+    write(landing, {k: v for k, v in ROUND_1.items() if "batiments" in k or "Facilities" in k}, 1_700_000_000)
+    north, fleuve = TENANTS
+    odd = replace(fleuve.feeds["buildings"], format=SourceFormat(encoding="klingon", delimiter=";"))
+    tenants = [north, replace(fleuve, feeds={"buildings": odd})]
+    assert lint(registry(), tenants) == ["fleuve/buildings: unknown encoding 'klingon'"]
+    job = Onboarding(spark, str(tmp_path / "raw"), registry(), tenants)
+    got = {r.source_file: (r.status, r.rows_loaded, r.rows_quarantined) for r in job.ingest(str(landing), None, RUN_1).collect()}
+    assert got == {"Facilities 1.csv": ("loaded_with_errors", 2, 3), "batiments.csv": ("rejected", 0, 0)}
+    assert {r.tenant_id for r in job.raw("buildings").collect()} == {"northwood"}
+
+
 def test_what_a_dead_run_left_stays_invisible(spark, tmp_path):
     """The dead run had written assets; the repeat gives its number to a feed that loads earlier."""
     landing = tmp_path / "landing"
