@@ -27,11 +27,30 @@ def is_blank(c: Column) -> Column:
     return c.isNull() | (strip(c) == "")
 
 
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """Lower-case characters that a full case-fold still changes: into one character, and into several."""
+    one, several = {}, {}
+    for char in map(chr, range(128, 0x110000)):
+        folded = char.casefold()
+        if folded != char and char == char.lower():
+            (one if len(folded) == 1 else several)[char] = folded
+    return one, several
+
+
+ONE, SEVERAL = _folds()
+
+
 def normalize(c: Column) -> Column:
-    """Loose match key: collapsed and lower-cased. Sharp s is folded as well, as a case-fold does."""
-    return F.replace(F.lower(collapse(c)), F.lit("ß"), F.lit("ss"))
+    """Loose match key: collapsed and case-folded in full, as Unicode defines it: a final sigma is a sigma,
+    ligatures and sharp s are their letters. Text in ASCII only pays for none of that."""
+    lower = F.lower(collapse(c))
+    folded = F.translate(lower, "".join(ONE), "".join(ONE.values()))
+    table = F.create_map(*[F.lit(x) for pair in SEVERAL.items() for x in pair])
+    letters = F.transform(F.split(folded, ""), lambda ch: F.coalesce(table[ch], ch))
+    whole = F.when(folded.rlike(f"[{''.join(SEVERAL)}]"), F.array_join(letters, "")).otherwise(folded)
+    return F.when(lower.rlike(r"[^\x00-\x7f]"), whole).otherwise(lower)
 
 
 def normalize_py(text: str) -> str:
     """Driver-side twin of :func:`normalize` for configuration text."""
-    return " ".join(str(text).split()).lower().replace("ß", "ss")
+    return " ".join(str(text).split()).casefold()
