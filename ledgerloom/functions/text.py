@@ -45,7 +45,8 @@ def normalize(c: Column) -> Column:
     ligatures and sharp s are their letters. Text in ASCII only pays for none of that."""
     lower = F.lower(collapse(c))
     folded = F.translate(lower, "".join(ONE), "".join(ONE.values()))
-    table = F.create_map(*[F.lit(x) for pair in SEVERAL.items() for x in pair])
+    # Two literals instead of one for each entry keep the plan small; the optimizer folds them into a map.
+    table = F.map_from_arrays(F.split(F.lit(" ".join(SEVERAL)), " "), F.split(F.lit(" ".join(SEVERAL.values())), " "))
     letters = F.transform(F.split(folded, ""), lambda ch: F.coalesce(table[ch], ch))
     whole = F.when(folded.rlike(f"[{''.join(SEVERAL)}]"), F.array_join(letters, "")).otherwise(folded)
     return F.when(lower.rlike(r"[^\x00-\x7f]"), whole).otherwise(lower)
