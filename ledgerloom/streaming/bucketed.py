@@ -32,7 +32,14 @@ from ..plans.reporting import rpt_maintenance_daily
 from ..plans.staging import stg_app_events
 from ..sources.uploads import stream_uploads, upload_rows
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE = "spark.sql.streaming.stateStore"
+#: A commit stores the changes of its micro-batch, not the files of the state, which follow in the background;
+#: and a row is put without looking it up once more only to count rows.
+STATE_SETTINGS = {
+    f"{_STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STATE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STATE}.rocksdb.trackTotalNumberOfRows": "false",
+}
 _ORIGIN = dt.datetime(1970, 1, 1)
 _MICROSECOND = dt.timedelta(microseconds=1)
 LANDED, BUCKET, DAY = "landed", "bucket", "event_date_local"
@@ -309,7 +316,8 @@ def start(
     """Process everything that has arrived in micro-batches of at most ``max_files`` files, then stop. Event
     ids are kept in RocksDB state under the checkpoint. ``refresh=False`` stores events only; the marts
     are then brought up to date by ``marts.refresh()`` whenever that is wanted."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
 
     def land(batch: DataFrame, epoch: int) -> None:
         marts.land(batch)

@@ -147,3 +147,13 @@ def test_a_small_run_reads_a_small_part(spark, tmp_path):
     after = set((tmp_path / "marts" / "fct_work_orders").rglob("*.parquet"))
     assert {f.parent.name for f in after ^ before} == {f"bucket={buckets[0]}"}
     same(marts, rebuilt(spark, rows + late, tenants(spark)))
+
+
+def test_a_commit_stores_changes_not_the_whole_state(spark, tmp_path):
+    copies = season(5, 60)
+    land(tmp_path / "uploads", "0", copies)
+    marts = marts_of(spark, tmp_path)
+    run(spark, tmp_path, marts, refresh=False)
+    assert list((tmp_path / "ckpt" / "state").rglob("1.changelog"))
+    assert not list((tmp_path / "ckpt" / "state").rglob("1.zip"))
+    assert marts.events().count() == len({c[0] for c in copies})
