@@ -344,7 +344,9 @@ class Onboarding:
         write a contract version. A repeated step overwrites what it left."""
         wanted = needs_report(batches)
         where = f"{self.reports}/{feed}/gen={gen}"
-        wanted.write.mode("overwrite").partitionBy("tenant_id", "batch_id").json(f"{where}/batches")
+        # A file a batch, written side by side however small they are.
+        spread = wanted.repartition(self.spark.sparkContext.defaultParallelism, "batch_id")
+        spread.write.mode("overwrite").partitionBy("tenant_id", "batch_id").json(f"{where}/batches")
         columns = ["tenant_id", "batch_id", "source_row", "violations"]
         rejected = [df.where(F.size("violations") > 0).select(*columns) for df in checked.values()]
         groups = violation_groups(reduce(DataFrame.unionByName, rejected))

@@ -59,7 +59,9 @@ def land(spark: SparkSession, d: str, landing: str, step: int) -> None:
             *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(h) for h, c in cells.items()],
         )
         folder = workspace(spark, "exports")
-        ordered = lines.repartition(*place).sortWithinPartitions(*place, "again", "k").drop("again", "k")
+        # A given number of partitions is not merged for being small: files are written side by side.
+        spread = lines.repartition(spark.sparkContext.defaultParallelism, *place)
+        ordered = spread.sortWithinPartitions(*place, "again", "k").drop("again", "k")
         ordered.write.partitionBy(*place).option("header", True).option("emptyValue", "").csv(folder)
         _deliver(spark, folder, landing)
 
@@ -68,10 +70,13 @@ def _deliver(spark: SparkSession, folder: str, landing: str) -> None:
     """Tenants name their files themselves: each written file moves to ``<landing>/<tenant>/<file>``."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    made: set[str] = set()
     for status in fs.globStatus(path(f"{folder}/tenant_id=*/file=*/part-*")):
         source = status.getPath()
         name, tenant = (p.getName().split("=", 1)[1] for p in (source.getParent(), source.getParent().getParent()))
-        fs.mkdirs(path(landing, tenant))
+        if tenant not in made:
+            fs.mkdirs(path(landing, tenant))
+            made.add(tenant)
         fs.rename(source, path(f"{landing}/{tenant}/{name}"))
 
 

@@ -294,3 +294,13 @@ def test_a_tenants_rows_lie_in_its_own_folders(first, job):
         assert mine.count() and {r.tenant_id for r in mine.collect()} == {"fleuve"}
     plan = job.raw("buildings").where("tenant_id = 'fleuve'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(tenant_id" in plan
+
+
+def test_listings_of_many_batches_are_written_side_by_side(spark, tmp_path):
+    rows = [("t", f"b{i:02d}", 0, n, f"cell {n}") for i in range(40) for n in (1, -1)]
+    lists = spark.createDataFrame(rows, "tenant_id string, batch_id string, part int, nth long, c0 string")
+    reports.write_listings(lists, str(tmp_path / "lists"))
+    files = list((tmp_path / "lists").rglob("part-*.csv"))
+    assert len(files) == 40
+    assert all(f.read_text() == "cell -1\ncell 1\n" for f in files)
+    assert len({f.name.split("-")[1] for f in files}) > 1  # tasks
