@@ -8,6 +8,7 @@ is never cut.
 from __future__ import annotations
 
 import array
+import ctypes
 import re
 import zlib
 from collections.abc import Iterator
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from . import repair
 from .common import staged
 
-#: Ids after which a shard ends with the document at hand.
-SHARD_IDS = 1 << 20
+#: Ids after which a shard ends with the document at hand. Compressing a shard takes some 50 bytes an id.
+SHARD_IDS = 1 << 19
 #: A worker remembers the ids of this many parts and then of half as many that occur twice in a slice;
 #: after that the memory starts anew.
 REMEMBERED = 200_000
@@ -189,6 +190,14 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
+def _give_back() -> None:
+    """Freed memory goes back to the system, where the C library can do that: workers stay between tasks, and
+    what they keep for later counts against their executor."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _width(greatest: int) -> int:
     return max(1, int(greatest).bit_length())
 
@@ -275,9 +284,13 @@ def _encode_range(tokenizer: str, end_id: int, shard_ids: int):
                     a = b
                     if full:
                         yield flush()
+                        _give_back()
                         number += 1
         if held:
             yield flush()
+        # An idle worker holds no parts. A task of some 15 MB fills the memory of parts anew anyway.
+        encoder._forget()
+        _give_back()
 
     return run
 

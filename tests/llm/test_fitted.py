@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -331,3 +332,26 @@ def test_short_comments_are_whole():
     for page in ("<!--><p>four", "<!---><p>four", "<!-- a --><p>four", "<!----><p>four", "<!-- a --!><p>four"):
         assert html_extraction._TOKEN.match(page).end() == page.index("<p>")
     assert html_extraction._TOKEN.match("<!-- open <p>four").end() == len("<!-- open <p>four")
+
+
+def test_a_worker_keeps_little_memory(monkeypatch):
+    """While a shard is compressed, and between tasks."""
+    ids = np.random.default_rng(4).integers(0, 3000, token_binary.SHARD_IDS)
+    tracemalloc.start()
+    repair.compress(ids, 50_257)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32e6
+
+    class Task:
+        def partitionId(self):
+            return 0
+
+    monkeypatch.setattr(token_binary, "TaskContext", type("Context", (), {"get": staticmethod(Task)}))
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2], "text": ["Some words, some more.", "Other words"]})
+    encode = token_binary._encode_range(tokenizer(), token_binary.END_ID, 1000)
+    (shard,) = encode(iter([batch]))
+    assert shard.column("n_docs").to_pylist() == [2]
+    assert not token_binary._encoders[tokenizer()].known
+    (again,) = encode(iter([batch]))
+    assert again.equals(shard)
