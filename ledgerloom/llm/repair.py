@@ -11,21 +11,36 @@ import numpy as np
 LEAST_COUNT, SHARE = 4, 4
 
 
-def _by_pair(symbols: np.ndarray, at: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, positions) of the pairs that begin at ``at``, in order of the pairs."""
-    bits, wide = max(1, int(top - 1).bit_length()), max(1, int(len(symbols) - 1).bit_length())
-    code = symbols[at].astype(np.int64) << bits
-    code |= symbols[at + 1]
-    if 2 * bits + wide <= 63:  # a plain sort of code and position in one number is the fastest
-        code <<= wide
-        code |= at
-        code.sort()
-        at = code & ((1 << wide) - 1)
-        code >>= wide
-    else:
-        order = np.argsort(code, kind="stable")
-        code, at = code[order], at[order]
-    return code, at
+_NONE = np.iinfo(np.int32).max
+
+
+def _order(first: np.ndarray, second: np.ndarray, top: int) -> np.ndarray:
+    """A stable order of pairs."""
+    if top > 1 << 16:
+        return np.argsort(_codes(first, second), kind="stable")
+    # Numbers of two bytes are sorted in one pass each.
+    order = np.argsort(second.astype(np.uint16), kind="stable")
+    return order.take(np.argsort(first.astype(np.uint16).take(order), kind="stable"))
+
+
+def _codes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    code = first.astype(np.int64)
+    code <<= 32
+    code |= second
+    return code
+
+
+def _frequent(first: np.ndarray, second: np.ndarray, at: np.ndarray, top: int):
+    """Of the pairs that begin at ``at`` those that occur LEAST_COUNT times: (places, codes, counts), the places
+    pair by pair."""
+    order = _order(first, second, top)
+    code = _codes(first.take(order), second.take(order))
+    order = order.astype(np.int32)
+    starts = np.flatnonzero(np.concatenate([[len(code) > 0], code[1:] != code[:-1]])[: len(code)]).astype(np.int32)
+    counts = np.diff(starts, append=np.int32(len(code)))
+    often = counts >= LEAST_COUNT
+    at = at.take(order.compress(np.repeat(often, counts)))
+    return at, code.take(starts.compress(often)), counts.compress(often)
 
 
 def _scattered(codes: np.ndarray) -> np.ndarray:
@@ -34,60 +49,102 @@ def _scattered(codes: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _winners(number: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Of overlapping matches those that are replaced. ``number`` holds each position's rank, one place
-    further on. A run of one pair (``aaaa``) wins as a whole over its neighbours if its rank is less, and gives
-    every second of its matches, from the left."""
-    rank = number[at + 1]
-    opens = np.r_[True, (at[1:] != at[:-1] + 1) | (rank[1:] != rank[:-1])]
-    first = np.flatnonzero(opens)
-    last = np.r_[first[1:], len(at)] - 1
-    wins = (number[at[first]] > rank[first]) & (number[at[last] + 2] > rank[first])
-    length = last - first + 1
-    nth = np.arange(len(at)) - np.repeat(first, length)
-    return at[np.repeat(wins, length) & (nth % 2 == 0)]
+def _winners(rank: np.ndarray, mine: np.ndarray, at: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Which of the matches at ``at``, of ranks ``mine``, are replaced where they overlap. A run of one pair
+    (``aaaa``) wins as a whole over its neighbours if its rank is less, and gives every second of its matches, from
+    the left."""
+    left, right = rank.take(before.take(at), mode="wrap"), rank.take(after.take(at))
+    wins = (left > mine) & (right > mine)
+    runs = np.flatnonzero((left == mine) | (right == mine))
+    if len(runs):
+        runs = runs[np.argsort(at[runs])]
+        place, own = at[runs], mine[runs]
+        opens = np.concatenate([[True], (after[place[:-1]] != place[1:]) | (own[1:] != own[:-1])])
+        first = np.flatnonzero(opens)
+        last = np.append(first[1:], len(runs)) - 1
+        whole = (left[runs[first]] > own[first]) & (right[runs[last]] > own[first])
+        length = last - first + 1
+        nth = np.arange(len(runs)) - np.repeat(first, length)
+        wins[runs] = np.repeat(whole, length) & (nth % 2 == 0)
+    return wins
 
 
 def compress(ids: np.ndarray, base: int, rounds: int | None = None):
     """(symbols, rules, lengths): rules[k] is the pair that symbol base + k stands for, lengths[k] the
-    number of ids it expands to. Ids must be below ``base``. ``rounds`` limits the rounds."""
-    symbols = np.array(ids, np.int32)
+    number of ids it expands to. Ids must be below ``base``. ``rounds`` limits the rounds.
+
+    Symbols are linked to their neighbours, and pairs keep their counts and places from round to round. A
+    replacement makes new pairs only with the new symbol, so only these are sorted and counted."""
+    n = len(ids)
+    # Place n lies behind the last symbol; the first one's left neighbour, -1, is the place after that.
+    symbols = np.full(n + 2, -1, np.int32)
+    symbols[:n] = ids
+    before, after = np.arange(-1, n + 1, dtype=np.int32), np.arange(1, n + 3, dtype=np.int32)
+    rank = np.full(n + 2, _NONE, np.int32)
+    # The pair that begins at each place, 0 if it is rare: a rare pair stays so until one of its symbols is replaced.
+    number = np.zeros(n + 2, np.int32)
+    codes, counts, begins = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(2, np.int64)
+    where = np.zeros(0, np.int32)  # the places of pair k: where[begins[k] : begins[k + 1]], some outdated
     rules, lengths, top = [], np.zeros(0, np.int64), base
-    # Where a frequent pair may begin: a pair that was rare stays so until one of its symbols is replaced.
-    live = np.ones(len(symbols), bool)
-    while len(symbols) > 1 and rounds != 0:
+    at = np.arange(max(n - 1, 0))
+    first, second = symbols[: len(at)], symbols[1 : len(at) + 1]
+    while rounds != 0:
         rounds = rounds and rounds - 1
-        live[-1] = False
-        code, at = _by_pair(symbols, np.flatnonzero(live), top)
-        starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, np.int64)
-        counts = np.diff(np.r_[starts, len(code)])
-        live[at[np.repeat(counts < LEAST_COUNT, counts)]] = False
-        if not len(counts) or counts.max() < LEAST_COUNT:
+        at, code, often = _frequent(first, second, at, top)
+        number[at] = np.repeat(np.arange(len(counts), len(counts) + len(code), dtype=np.int32), often)
+        filled = int(begins[-1])
+        if filled + len(at) > len(where):
+            where = np.concatenate([where[:filled], np.empty(len(at) + len(where) // 2, np.int32)])
+        where[filled : filled + len(at)] = at
+        codes, counts = np.concatenate([codes, code]), np.concatenate([counts, often])
+        begins = np.concatenate([begins, filled + np.cumsum(often)])
+        most = int(counts.max())
+        if most < LEAST_COUNT:
             break
-        chosen = counts >= max(LEAST_COUNT, counts.max() // SHARE)
-        here = np.repeat(chosen, counts)
-        rank = np.empty(int(chosen.sum()), np.int32)
-        rank[np.lexsort((_scattered(code[starts[chosen]]), -counts[chosen]))] = np.arange(len(rank), dtype=np.int32)
-        number = np.full(len(symbols) + 2, len(rank), np.int32)  # a place on either side that never wins
-        number[at[here] + 1] = np.repeat(rank, counts[chosen])
-        at = np.flatnonzero(number[1:-1] < len(rank))
-        at = _winners(number, at)
+        chosen = np.flatnonzero(counts >= max(LEAST_COUNT, most // SHARE))
+        chosen = chosen[np.lexsort((_scattered(codes[chosen]), -counts[chosen]))]
+        size = begins[chosen + 1] - begins[chosen]
+        if size.sum() * 16 > n:  # one pass over all places is faster
+            place = np.full(len(counts), _NONE, np.int32)
+            place[chosen] = np.arange(len(chosen), dtype=np.int32)
+            at = np.flatnonzero((place < _NONE).take(number[:n]))
+            mine = place.take(number.take(at))
+        else:
+            ends = np.cumsum(size)
+            at = where.take(np.repeat(begins[chosen] - (ends - size), size) + np.arange(ends[-1])).astype(np.int64)
+            mine = np.repeat(np.arange(len(chosen), dtype=np.int32), size)
+            still = number.take(at) == chosen.take(mine)
+            at, mine = at.compress(still), mine.compress(still)
+        rank[at] = mine
+        wins = _winners(rank, mine, at, before, after)
+        rank[at] = _NONE
+        at, mine = at.compress(wins), mine.compress(wins)
         # Pairs that were left no place make no rule.
-        used, k = np.unique(number[at + 1], return_inverse=True)
-        bits = max(1, int(top - 1).bit_length())
-        pair = code[starts[chosen]][np.argsort(rank)][used]
-        pair = np.stack([pair >> bits, pair & ((1 << bits) - 1)], 1)
+        won = np.bincount(mine, minlength=len(chosen))
+        used = won > 0
+        pair = codes[chosen[used]]
+        pair = np.stack([pair >> 32, pair & 0xFFFFFFFF], 1)
         rules.append(pair)
-        lengths = np.r_[lengths, _length(pair, lengths, base)]
-        symbols[at] = top + k
-        live[at] = True
-        live[at[at > 0] - 1] = True
+        lengths = np.concatenate([lengths, _length(pair, lengths, base)])
+        symbols[at] = (top - 1 + np.cumsum(used, dtype=np.int32)).take(mine)
+        counts[chosen] -= won
+        gone = after.take(at).astype(np.int64)
+        then = after.take(gone).astype(np.int64)
+        after[at], before[then], symbols[gone] = then, at, -1
+        lost = number.take(gone)
+        number[at] = number[gone] = 0
+        left = before.take(at).astype(np.int64)
+        left = left.compress((left >= 0) & (symbols.take(left, mode="wrap") < top))  # others have a new symbol and are in ``at``
+        lost = np.concatenate([lost, number.take(left)])
+        number[left] = 0
+        counts -= np.bincount(lost, minlength=len(counts))
+        counts[0] = 0
+        at = np.concatenate([at.compress(then < n), left])
+        first, second = symbols.take(at), symbols.take(after.take(at))
         top += len(pair)
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        symbols, live = symbols[keep], live[keep]
+    symbols = symbols[:n]
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
-    return symbols, table, lengths
+    return symbols.compress(symbols >= 0), table, lengths
 
 
 def _length(pair: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
@@ -117,12 +174,12 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
         return symbols
     # One table: the base ids, then the expansions.
     table = np.r_[np.arange(base, dtype=np.int32), flat]
-    begin = np.r_[np.arange(base), base + bounds[:-1]].astype(np.int32)[symbols]
-    size = np.r_[np.ones(base), np.diff(bounds)].astype(np.int32)[symbols]
+    begin = np.r_[np.arange(base), base + bounds[:-1]].astype(np.int32).take(symbols)
+    size = np.r_[np.ones(base), np.diff(bounds)].astype(np.int32).take(symbols)
     ends = np.cumsum(size, dtype=np.int32)
     where = np.repeat(begin - (ends - size), size)
     where += np.arange(len(where), dtype=np.int32)
-    return table[where]
+    return table.take(where)
 
 
 def slice_ids(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int, start: int, stop: int):

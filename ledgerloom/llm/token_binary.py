@@ -7,13 +7,11 @@ is never cut.
 
 from __future__ import annotations
 
-import array
 import ctypes
 import re
 import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +40,6 @@ FILE = (
 )
 
 
-#: Stands in front of a part that has no space before it; texts that have it are encoded whole.
-_GLUE = "\x01"
-
-
 def _byte_letters() -> dict[int, str]:
     """The letter that byte-level pre-tokenizers put for each byte: printing ones stand for themselves, the
     others follow from 256 on."""
@@ -54,137 +48,279 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-#: White space of any kind before a space or a line end, where the pre-tokenizer looks back, or after a
-#: line end, which it keeps together with it.
-_WHITE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_LOOKS_BACK = rf"{_WHITE}[ \n]|\n{_WHITE}"
-_LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+#: Kinds of bytes. Solid ones belong to characters other than white space that may be letters, digits or signs;
+#: of unknown ones not even that much is said.
+_SPACE, _WHITE, _LETTER, _DIGIT, _SIGN, _QUOTE, _SOLID, _UNKNOWN = range(8)
+
+
+def _byte_kinds() -> np.ndarray:
+    kinds = np.full(256, _UNKNOWN, np.uint8)
+    kinds[33:127] = _SIGN
+    for chars, kind in ((b" ", _SPACE), (b"\t\n\r", _WHITE), (b"0123456789", _DIGIT), (b"'", _QUOTE)):
+        kinds[list(chars)] = kind
+    kinds[65:91] = kinds[97:123] = _LETTER
+    kinds[128:] = _SOLID
+    kinds[[0xC2, 0xE1, 0xE2, 0xE3]] = _UNKNOWN  # white space may begin so
+    return kinds
+
+
+def _cuts() -> np.ndarray:
+    """Where the pre-tokenizer always cuts between two bytes, by 8 * kind + kind. It looks ahead in white space
+    only, and puts a single space, and a quote sign that may open a contraction, to what follows."""
+    cuts = np.zeros((8, 8), bool)
+    solid = [_LETTER, _DIGIT, _SIGN, _QUOTE, _SOLID]
+    cuts[np.ix_(solid, [_SPACE, _WHITE])] = True
+    cuts[_WHITE, solid] = True
+    cuts[_LETTER, [_DIGIT, _SIGN, _QUOTE]] = True
+    cuts[_DIGIT, [_LETTER, _SIGN, _QUOTE]] = True
+    cuts[_SIGN, [_LETTER, _DIGIT]] = True
+    return cuts.ravel()
+
+
+def _white_ends() -> np.ndarray:
+    """The last two bytes, as 256 * byte + byte, of white space characters beyond ASCII."""
+    ends = np.zeros(1 << 16, bool)
+    for char in "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))):
+        ends[int.from_bytes(char.encode()[-2:])] = True
+    return ends
+
+
+_KINDS, _CUTS, _WHITE_ENDS = _byte_kinds(), _cuts(), _white_ends()
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """The kind of each byte of UTF-8 texts; À to ÿ are letters too, but for the signs × and ÷."""
+    kinds = _KINDS.take(data)
+    high = np.flatnonzero(data >= 128)
+    if len(high):
+        pair = data[high - 1].astype(np.int32) << 8 | data[high]
+        kinds[high[_WHITE_ENDS[pair]]] = _UNKNOWN
+        latin = high[(pair >> 8 == 0xC3) & (pair != 0xC397) & (pair != 0xC3B7)]
+        kinds[latin] = kinds[latin - 1] = _LETTER
+    return kinds
+
+
+def _bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the parts of the texts begin, and the end. ``data`` holds the texts end to end, at ``offsets``."""
+    kinds = _kinds(data)
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = _CUTS.take(kinds[:-1] << 3 | kinds[1:])
+    white = kinds <= _WHITE
+    run = np.flatnonzero(white[:-1] & white[1:]) + 1
+    if len(run):
+        # Of several white spaces before something else the last is cut off; at the end of a text they stay together.
+        run = run[run < len(data) - 1]
+        follows = kinds[run + 1]
+        cut[run[(follows > _WHITE) & (follows < _UNKNOWN)]] = True
+        last = offsets[1:][offsets[1:] > 1] - 1
+        cut[last[white[last] & white[last - 1]]] = False
+    cut[offsets] = True
+    return np.flatnonzero(cut).astype(np.int32)
+
+
+#: Bytes of a part that fit into the two numbers by which it is remembered.
+_SHORT = 16
+_MASKS = np.array([(1 << 8 * min(k, 8)) - 1 for k in range(_SHORT + 1)], np.uint64)
+
+
+def _numbers(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each part's first and last eight bytes as numbers; longer parts and those with a zero byte get zeros."""
+    padded = np.zeros(len(data) + _SHORT, np.uint8)
+    padded[: len(data)] = data
+    eights = np.ndarray(len(data) + 9, "<u8", padded, strides=(1,))
+    begins, size = bounds[:-1], np.diff(bounds)
+    short = size <= _SHORT
+    if not data.all():
+        short &= np.add.reduceat(data == 0, begins, dtype=np.int32) == 0
+    size = np.where(short, size, 0)
+    low, high = eights[begins] & _MASKS[size], np.zeros(len(size), np.uint64)
+    more = np.flatnonzero(size > 8)
+    high[more] = eights[begins[more] + 8] & _MASKS[size[more] - 8]
+    return low, high
+
+
+class _Parts:
+    """Remembered parts and their places in a table of ids: short ones by their two numbers, in the first free
+    row from where a hash points to; others by their bytes. ``low`` is 0 for none but long parts."""
+
+    BITS = max(1, (2 * REMEMBERED).bit_length())
+
+    def __init__(self):
+        self.rows = np.zeros((0, 4), np.uint64)
+        self.short, self.long = 0, {}
+
+    def __len__(self) -> int:
+        return self.short + len(self.long)
+
+    def _row(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        x = low * np.uint64(0x9E3779B97F4A7C15) + high * np.uint64(0xC2B2AE3D27D4EB4F)
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        return (x >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The parts' places, -1 for those not found."""
+        at = np.full(len(low), -1, np.int64)
+        todo = np.flatnonzero(low) if len(self.rows) else at[:0]
+        low, high = low.take(todo), high.take(todo)
+        row = self._row(low, high)
+        while len(todo):
+            there = self.rows.take(row, axis=0)
+            hit = (there[:, 0] == low) & (there[:, 1] == high)
+            at[todo.compress(hit)] = there[:, 2].compress(hit)
+            on = np.flatnonzero(~hit & (there[:, 0] != 0))
+            todo, low, high, row = todo.take(on), low.take(on), high.take(on), (row.take(on) + 1) % len(self.rows)
+        return at
+
+    def add(self, low: np.ndarray, high: np.ndarray, places: np.ndarray) -> None:
+        """Remember short parts, all different and none of them there yet."""
+        if not len(self.rows):
+            self.rows = np.zeros((1 << self.BITS, 4), np.uint64)
+        self.short += len(low)
+        new = np.stack([low, high, places.astype(np.uint64), np.zeros_like(low)], 1)
+        row = self._row(low, high)
+        while len(new):
+            free = self.rows[row, 0] == 0
+            self.rows[row[free]] = new[free]  # of several for one row the last stays
+            on = np.flatnonzero((self.rows[row, :2] != new[:, :2]).any(1))
+            new, row = new[on], (row[on] + 1) % len(self.rows)
 
 
 class Encoder:
     """Texts to ids, the library's own for every text.
 
-    The pre-tokenizer always cuts before a space or a line end that follows a character other than
-    white space, and between a letter and one full stop or comma before white space. A text is cut there
-    and every distinct part encoded once by the library. Texts in which it would look back further, or
-    with a string that the tokenizer treats as special, are given to it whole. Parts seen at least twice
-    are remembered for the worker's later texts, rarer ones while there is room.
+    Texts are cut where the tokenizer's pre-tokenizer cuts whatever stands further on, and every distinct part is
+    encoded once by the library. Texts with a string that the tokenizer treats as special are given to it whole.
+    Parts seen at least twice are remembered for the worker's later texts, rarer ones while there is room.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.base = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = "|".join([_LOOKS_BACK, _GLUE, *special])
-        # The tokenizer's model sees bytes as letters; which, it says itself.
-        self.letters = _byte_letters()
-        self.word = re.compile(rf" ?(?:{_LETTER}+|[.,])")
+        self.special = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+        # The tokenizer's model sees bytes as letters; none of them is a line end.
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = CharDelimiterSplit("\n")
+        letters = _byte_letters() | {0xFF: "\n"}
+        self.letters = np.array([ord(letters[b]) for b in range(256)], "<u4")
+        self.lengths = np.zeros(self.base, np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.lengths[i] = len(token)
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Parts()
         self.flat, self.bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _pieces(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the parts, end to end, and their sizes. A part that is one pre-token goes to the library's
-        model at once; others, such as those with digits, go through all of the tokenizer."""
-        word, of = self.word.fullmatch, self.tokenizer.model.tokenize
-        table, flat = self.letters, array.array("i")
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _pieces(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts, end to end, and their sizes. Parts of letters, digits, signs or white space alone are
+        one pre-token each and go to the library's model at once; others go through all of the tokenizer."""
+        width = np.fromiter(map(len, new), np.int64, len(new))
+        data = np.frombuffer(b"\xff".join([*new, b""]), np.uint8)
+        ends = np.cumsum(width + 1) - 1
+        other = _kinds(data) >= _QUOTE
+        other[ends] = False
+        other = np.add.reduceat(other, ends - width, dtype=np.int64) > 0 if len(new) else np.zeros(0, bool)
+        text = self.letters.take(data.compress(np.repeat(~other, width + 1))).tobytes().decode("utf-32-le")
+        flat = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+        # Each id stands for so many bytes.
+        seen, stops = np.cumsum(self.lengths[flat]), np.cumsum(width[~other])
+        if len(stops) and (len(seen) == 0 or seen[-1] != stops[-1]):
+            raise ValueError("the tokenizer's model leaves out bytes")
         sizes = np.zeros(len(new), np.int64)
-        rest = []
-        space = table[32]
-        for i, part in enumerate(new):
-            letters = part.lstrip(" ")
-            if letters.isalpha() and letters.isascii():
-                seen = space + letters if len(letters) < len(part) else letters
-            elif word(part):
-                seen = part.encode().decode("latin-1").translate(table)
-            else:
-                seen = ""
-            if seen:
-                ids = [t.id for t in of(seen)]
-                flat.extend(ids)
-                sizes[i] = len(ids)
-            else:
-                rest.append(i)
-        flat = np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32)
-        begins = np.cumsum(sizes) - sizes
-        out, at = [], 0
-        for i, ids in zip(rest, self._encode([new[i] for i in rest]) if rest else []):
-            out += [flat[at : begins[i]], np.array(ids, np.int32)]
-            at, sizes[i] = begins[i], len(ids)
-        return np.concatenate([*out, flat[at:]]), sizes
-
-    def _places(self, pieces: list[str], often: np.ndarray) -> np.ndarray:
-        """For each distinct part its place in a table of ids; the table is as long as needed."""
-        if len(self.known) > 1.5 * REMEMBERED:
+        sizes[~other] = np.diff(np.searchsorted(seen, stops, "right"), prepend=0)
+        rest = np.flatnonzero(other).tolist()
+        return _put_in(flat, sizes, rest, self._encode([new[i].decode() for i in rest])), sizes
+
+    def _places(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """For each part its place in a table of ids; the table is as long as needed."""
+        if len(self.known) >= 1.5 * REMEMBERED:
             self._forget()
-        elif len(self.known) < REMEMBERED:
-            often = np.ones(len(pieces), bool)
-        at = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        low, high = _numbers(data, bounds)
+        at = self.known.find(low, high)
+        rest = np.flatnonzero(at < 0)
+        self.table, self.table_bounds = self.flat, self.bounds
+        if len(rest):
+            parts = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+            coded = parts.take(pa.array(rest)).dictionary_encode()
+            index = coded.indices.to_numpy(zero_copy_only=False)
+            one = np.zeros(len(coded.dictionary), np.int64)
+            one[index] = rest  # one of its places in the texts
+            often = np.bincount(index, minlength=len(one)) > 1
+            names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
+            at[rest] = self._new_places(names, low[one], high[one], often).take(index)
+        return at
+
+    def _new_places(self, names: list[bytes], low: np.ndarray, high: np.ndarray, often: np.ndarray) -> np.ndarray:
+        long = low == 0
+        at = np.full(len(names), -1, np.int64)
+        for i in np.flatnonzero(long).tolist():
+            at[i] = self.known.long.get(names[i], -1)
         new = np.flatnonzero(at < 0)
-        new = new[np.argsort(~often[new], kind="stable")]  # those to remember come first
-        flat, sizes = self._pieces([pieces[i] for i in new])
-        kept = int(often[new].sum())
+        if len(self.known) >= REMEMBERED:
+            new = new[np.argsort(~often[new], kind="stable")]  # those to remember come first
+            kept = int(often[new].sum())
+        else:
+            kept = len(new)
+        kept = min(kept, int(1.5 * REMEMBERED) - len(self.known))
+        flat, sizes = self._pieces([names[i] for i in new.tolist()])
         first = len(self.bounds) - 1
         at[new] = first + np.arange(len(new))
-        self.known.update(zip((pieces[i] for i in new[:kept]), range(first, first + kept)))
-        ends = self.bounds[-1] + np.cumsum(sizes)
-        table, bounds = np.concatenate([self.flat, flat]), np.r_[self.bounds, ends]
-        self.flat, self.bounds = table[: bounds[first + kept]], bounds[: first + kept + 1]
-        self.table, self.table_bounds = table, bounds
+        keep = new[:kept]
+        short = keep[~long[keep]]
+        self.known.add(low[short], high[short], at[short])
+        self.known.long.update((names[i], int(at[i])) for i in keep[long[keep]].tolist())
+        self.table = np.concatenate([self.flat, flat])
+        self.table_bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+        self.flat, self.bounds = self.table[: self.table_bounds[first + kept]], self.table_bounds[: first + kept + 1]
         return at
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, end to end, and the number of each."""
-        whole = pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False)
+        whole = np.zeros(len(texts), bool)
+        if self.special:
+            whole = pc.match_substring_regex(texts, self.special).to_numpy(zero_copy_only=False)
         if not whole.any():
             return self._plain(texts)
         odd = np.flatnonzero(whole).tolist()
         sizes = np.zeros(len(texts), np.int64)
-        flat = np.zeros(0, np.int32)
-        if not whole.all():
-            flat, sizes[~whole] = self._plain(texts.filter(pa.array(~whole)))
-        begins = np.cumsum(sizes) - sizes
-        out, at = [], 0
-        for i, ids in zip(odd, self._encode([texts[i].as_py() for i in odd])):
-            out += [flat[at : begins[i]], np.array(ids, np.int32)]
-            at, sizes[i] = begins[i], len(ids)
-        return np.concatenate([*out, flat[at:]]), sizes
+        flat, sizes[~whole] = self._plain(texts.filter(pa.array(~whole)))
+        return _put_in(flat, sizes, odd, self._encode([texts[i].as_py() for i in odd])), sizes
 
     def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        apart = pc.replace_substring_regex(texts, rf"({_LETTER})([.,])(\s|$)", rf"\1 {_GLUE}\2\3")
-        apart = pc.replace_substring(apart, "\n", f" {_GLUE}\n {_GLUE}")
-        split = pc.split_pattern(apart, " ")
-        del apart
-        starts = split.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
-        coded = split.flatten().dictionary_encode()
-        del split
-        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
-        del coded
-        # The first part of a text has no space before it either.
-        opening = starts[:-1] - starts[0]
-        firsts, place = np.unique(index[opening], return_inverse=True)
-        often = np.bincount(index, minlength=len(names)) > 1
-        parts = [n[1:] if n[:1] == _GLUE else " " + n for n in names] + [names[i] for i in firsts]
-        at = self._places(parts, np.r_[often, np.zeros(len(firsts), bool)])
-        index[opening] = len(names) + place
-        begin = self.table_bounds[at].astype(np.int32)[index]
-        size = np.diff(self.table_bounds).astype(np.int32)[at][index]
+        texts = texts.cast(pa.large_binary())
+        if not pc.sum(pc.binary_length(texts)).as_py():
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        bounds = _bounds(data, offsets)
+        at = self._places(data, bounds)
+        begin = self.table_bounds.take(at).astype(np.int32)
+        size = np.diff(self.table_bounds).astype(np.int32).take(at)
         ends = np.cumsum(size, dtype=np.int64)
-        total = int(ends[-1]) if len(ends) else 0
         where = np.repeat((begin - (ends - size)).astype(np.int32), size)
-        where += np.arange(total, dtype=np.int32)
-        ids = self.table[where]
+        where += np.arange(len(where), dtype=np.int32)
+        ids = self.table.take(where)
         self.table = self.table_bounds = None
         pa.default_memory_pool().release_unused()
-        return ids, np.diff(np.r_[0, ends][starts - starts[0]])
+        return ids, np.diff(np.concatenate([[0], ends])[np.searchsorted(bounds, offsets)])
+
+
+def _put_in(flat: np.ndarray, sizes: np.ndarray, at: list[int], ids: list[list[int]]) -> np.ndarray:
+    """``flat``, of rows of ``sizes``, with the ids of the rows ``at``, which were empty."""
+    begins = np.cumsum(sizes) - sizes
+    out, done = [], 0
+    for i, own in zip(at, ids):
+        out += [flat[done : begins[i]], np.array(own, np.int32)]
+        done, sizes[i] = begins[i], len(own)
+    return np.concatenate([*out, flat[done:]])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -205,18 +341,28 @@ def _width(greatest: int) -> int:
 def _packed(numbers: np.ndarray, bits: int) -> bytes:
     """Numbers of so many bits each, end to end, lowest bit first."""
     numbers = np.asarray(numbers).ravel()
-    planes = np.empty((len(numbers), bits), np.uint8)
-    for k in range(bits):
-        planes[:, k] = (numbers >> k) & 1
-    return np.packbits(planes, bitorder="little").tobytes()
+    eights = np.zeros((-(-len(numbers) // 8), 8), np.uint64)  # eight numbers fill whole bytes
+    eights.ravel()[: len(numbers)] = numbers
+    out = np.zeros((len(eights), bits), np.uint8)
+    for k in range(8):
+        byte, shift = divmod(k * bits, 8)
+        lane = eights[:, k] << np.uint64(shift)
+        for j in range(-(-(shift + bits) // 8)):
+            out[:, byte + j] |= (lane >> np.uint64(8 * j)).astype(np.uint8)
+    return out.tobytes()[: -(-len(numbers) * bits // 8)]
 
 
 def _unpacked(data: bytes, n: int, bits: int) -> np.ndarray:
-    planes = np.unpackbits(np.frombuffer(data, np.uint8), count=n * bits, bitorder="little").reshape(n, bits)
-    numbers = np.zeros(n, np.int32)
-    for k in range(bits):
-        numbers |= planes[:, k].astype(np.int32) << k
-    return numbers
+    eights = np.zeros((-(-n // 8), bits), np.uint8)
+    eights.ravel()[: len(data)] = np.frombuffer(data, np.uint8)
+    numbers = np.empty((len(eights), 8), np.int32)
+    for k in range(8):
+        byte, shift = divmod(k * bits, 8)
+        lane = np.zeros(len(eights), np.uint64)
+        for j in range(-(-(shift + bits) // 8)):
+            lane |= eights[:, byte + j].astype(np.uint64) << np.uint64(8 * j)
+        numbers[:, k] = (lane >> np.uint64(shift)) & np.uint64((1 << bits) - 1)
+    return numbers.ravel()[:n]
 
 
 def _shard(number: int, base: int, ids: list, sizes: np.ndarray, flat: np.ndarray) -> pa.RecordBatch:
