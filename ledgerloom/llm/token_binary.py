@@ -90,7 +90,7 @@ _KINDS, _CUTS, _WHITE_ENDS = _byte_kinds(), _cuts(), _white_ends()
 
 def _kinds(data: np.ndarray) -> np.ndarray:
     """The kind of each byte of UTF-8 texts; À to ÿ are letters too, but for the signs × and ÷."""
-    kinds = _KINDS.take(data)
+    kinds = _KINDS.take(data, mode="wrap")
     high = np.flatnonzero(data >= 128)
     if len(high):
         pair = data[high - 1].astype(np.int32) << 8 | data[high]
@@ -104,7 +104,7 @@ def _bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where the parts of the texts begin, and the end. ``data`` holds the texts end to end, at ``offsets``."""
     kinds = _kinds(data)
     cut = np.zeros(len(data) + 1, bool)
-    cut[1:-1] = _CUTS.take(kinds[:-1] << 3 | kinds[1:])
+    cut[1:-1] = _CUTS.take(kinds[:-1] << 3 | kinds[1:], mode="wrap")
     white = kinds <= _WHITE
     run = np.flatnonzero(white[:-1] & white[1:]) + 1
     if len(run):
@@ -302,12 +302,12 @@ class Encoder:
         offsets = offsets - offsets[0]
         bounds = _bounds(data, offsets)
         at = self._places(data, bounds)
-        begin = self.table_bounds.take(at).astype(np.int32)
-        size = np.diff(self.table_bounds).astype(np.int32).take(at)
+        begin = self.table_bounds.take(at, mode="wrap").astype(np.int32)
+        size = np.diff(self.table_bounds).astype(np.int32).take(at, mode="wrap")
         ends = np.cumsum(size, dtype=np.int64)
         where = np.repeat((begin - (ends - size)).astype(np.int32), size)
         where += np.arange(len(where), dtype=np.int32)
-        ids = self.table.take(where)
+        ids = self.table.take(where, mode="wrap")
         self.table = self.table_bounds = None
         pa.default_memory_pool().release_unused()
         return ids, np.diff(np.concatenate([[0], ends])[np.searchsorted(bounds, offsets)])
@@ -326,6 +326,19 @@ def _put_in(flat: np.ndarray, sizes: np.ndarray, at: list[int], ids: list[list[i
 _encoders: dict[str, Encoder] = {}
 
 
+def _keep_freed() -> None:
+    """Until ``_give_back`` freed memory of up to 64 MB is used again instead of being mapped anew for each array,
+    where the C library can do that."""
+    option = getattr(ctypes.CDLL(None), "mallopt", None)
+    if option is not None:
+        option(_MMAP_THRESHOLD, 32 << 20)
+        option(_TRIM_THRESHOLD, 64 << 20)
+
+
+#: As in malloc.h.
+_TRIM_THRESHOLD, _MMAP_THRESHOLD = -1, -3
+
+
 def _give_back() -> None:
     """Freed memory goes back to the system, where the C library can do that: workers stay between tasks, and
     what they keep for later counts against their executor."""
@@ -402,6 +415,7 @@ def _with_end(flat: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndar
 def _encode_range(tokenizer: str, end_id: int, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, Encoder(tokenizer))
+        _keep_freed()
         held: list[tuple] = []  # slices of (ids, sizes, flat) that no shard has yet
         number = 0
 
@@ -430,7 +444,6 @@ def _encode_range(tokenizer: str, end_id: int, shard_ids: int):
                     a = b
                     if full:
                         yield flush()
-                        _give_back()
                         number += 1
         if held:
             yield flush()

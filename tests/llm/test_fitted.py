@@ -355,3 +355,36 @@ def test_a_worker_keeps_little_memory(monkeypatch):
     assert not token_binary._encoders[tokenizer()].known
     (again,) = encode(iter([batch]))
     assert again.equals(shard)
+
+
+def test_encoder_cuts_texts_with_white_space_runs(monkeypatch):
+    """Plain texts reach the library as distinct parts only, and what is remembered has an end."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer())
+    monkeypatch.setattr(token_binary, "REMEMBERED", 300)
+    encoder = token_binary.Encoder(tokenizer())
+    given = []
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda texts: given.extend(texts) or encode(texts))
+    r = random.Random(8)
+    bits = [" ", "  ", "\n\n", " \n", "\t", "Été", "word", "it's", "'", "'s", "42", "3.14", "(a)", ",", "...", "слово", "日本", "”", "×", "​", "x" * 20]
+    for _ in range(30):
+        texts = ["".join(r.choice(bits) for _ in range(r.randrange(30))) + "q" * r.randrange(25) for _ in range(200)]
+        flat, sizes = encoder(pa.array(texts))
+        for t, p in zip(texts, np.split(flat, np.cumsum(sizes)[:-1])):
+            assert p.tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
+        assert len(encoder.known) <= 450
+    given.clear()
+    flat, _ = encoder(pa.array(["One  line.\n\nAnother\t line, 42 (end)\n" * 50]))
+    assert not given
+
+
+def test_pairs_are_counted_when_they_arise(monkeypatch):
+    """A round sorts only the pairs that the last one made."""
+    sorted_, frequent = [], repair._frequent
+    monkeypatch.setattr(repair, "_frequent", lambda first, *rest: sorted_.append(len(first)) or frequent(first, *rest))
+    ids = np.random.default_rng(5).zipf(1.3, 50_000) % 5_000
+    symbols, rules, _ = repair.compress(ids, 50_257)
+    assert (repair.expand(symbols, rules, 50_257) == ids).all()
+    assert len(sorted_) > 5 and sum(sorted_) <= len(ids) + 2 * (len(ids) - len(symbols))
