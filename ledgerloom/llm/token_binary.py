@@ -327,8 +327,8 @@ _encoders: dict[str, Encoder] = {}
 
 
 def _keep_freed() -> None:
-    """Until ``_give_back`` freed memory of up to 64 MB is used again instead of being mapped anew for each array,
-    where the C library can do that."""
+    """From now on freed memory of up to 64 MB is used again instead of being mapped anew for each array, where the
+    C library can do that; ``_give_back`` still returns it."""
     option = getattr(ctypes.CDLL(None), "mallopt", None)
     if option is not None:
         option(_MMAP_THRESHOLD, 32 << 20)
