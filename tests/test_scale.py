@@ -9,7 +9,8 @@ from test_validate import BERTHS, GERMAN, frame, rows_of
 from ledgerloom.config import ParseOptions
 from ledgerloom.functions.coerce import coerce, quick, stored
 from ledgerloom.functions.text import collapse, is_collapsed
-from ledgerloom.operators.validate import check_fields, reference_status, validate
+from ledgerloom.operators.reports import violation_groups
+from ledgerloom.operators.validate import check_fields, is_accepted, reference_status, validate
 
 CELLS = [
     None, "", " ", "7", "007", "-0", "-12", "+5", "999999999", "1000000000", "9999999999", "1,204", "1.204", "7.0", "7.5",
@@ -63,3 +64,20 @@ def test_cells_come_back_as_they_were(spark):
     rows = frame(spark, {"b": [row, few]})
     done = validate(rows, BERTHS, [GERMAN], {"owner": reference_status(none, none)}).orderBy("source_row").collect()
     assert [r.raw for r in done] == [row, few]
+
+
+def test_problems_are_put_into_words_once(spark):
+    """Groups and examples read what was staged, not the rows again."""
+    none = spark.createDataFrame([], "tenant_id string, code string")
+    rows = frame(spark, {f"file{i}": rows_of(i, 60, 0.4) for i in range(2)})
+    held = validate(rows, BERTHS, [GERMAN], {"owner": reference_status(none, none)}).where(~is_accepted())
+    taken = []
+
+    def stage(df):
+        taken.append(df.collect())
+        return spark.createDataFrame(taken[-1], df.schema)
+
+    order = ["batch_id", "position"]
+    staged = violation_groups(held, stage=stage).orderBy(*order)
+    assert staged.collect() == violation_groups(held).orderBy(*order).collect()
+    assert len(taken) == 1
