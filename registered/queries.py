@@ -441,22 +441,27 @@ def batch_status(spark, d):
     return _sales_batches(_sales_validated(spark, d))
 
 
+def _sales_outcomes(done: DataFrame) -> DataFrame:
+    """What became of each row, without the words: a row is decided once, however many steps ask for it."""
+    columns = ["batch_id", "tenant_id", "feed", "source_row", "record_key", "loaded_at", "accepted", "file_violations"]
+    return staged(done.select(*columns), "outcomes")
+
+
 def _sales_resolutions(done: DataFrame) -> tuple[DataFrame, DataFrame]:
-    done = staged(done.drop("raw", "labels", "record"), "validated")
     held = done.where(~is_accepted()).withColumnRenamed("loaded_at", "quarantined_at")
-    return held, quarantine.resolutions(held, done.where(is_accepted()))
+    return held, quarantine.resolutions(held, done.where(is_accepted()), lambda df: staged(df, "closed"))
 
 
 @query
 def quarantine_resolution(spark, d):
     """Which held sale lines a later year's file closed, and when."""
-    _, closed = _sales_resolutions(_sales_validated(spark, d))
+    _, closed = _sales_resolutions(_sales_outcomes(_sales_validated(spark, d)))
     return closed.select("batch_id", "source_row", "resolved_batch_id", "resolved_at")
 
 
 @query
 def mon_ingestion_quality(spark, d):
-    done = _sales_validated(spark, d)
+    done = _sales_outcomes(_sales_validated(spark, d))
     held, closed = _sales_resolutions(done)
     # Line items may share a source row, so resolutions are counted per (batch, row) first.
     closed = closed.groupBy("batch_id", "source_row").agg(

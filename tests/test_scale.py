@@ -1,5 +1,6 @@
 """What keeps validation in proportion to its rows: cells in a plain form, plans the JVM compiles, single passes."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -11,6 +12,7 @@ from ledgerloom.functions.coerce import coerce, quick, stored
 from ledgerloom.functions.text import collapse, is_collapsed
 from ledgerloom.operators.reports import violation_groups
 from ledgerloom.operators.validate import check_fields, is_accepted, reference_status, validate
+from registered import queries
 
 CELLS = [
     None, "", " ", "7", "007", "-0", "-12", "+5", "999999999", "1000000000", "9999999999", "1,204", "1.204", "7.0", "7.5",
@@ -81,3 +83,29 @@ def test_problems_are_put_into_words_once(spark):
     staged = violation_groups(held, stage=stage).orderBy(*order)
     assert staged.collect() == violation_groups(held).orderBy(*order).collect()
     assert len(taken) == 1
+
+
+@pytest.mark.parametrize("name", ["quarantine_resolution", "mon_ingestion_quality"])
+def test_outcomes_are_staged_once_without_words(spark, monkeypatch, name):
+    purposes = {}
+
+    def stage(df, purpose):
+        purposes.setdefault(purpose, []).append(df.columns)
+        return df
+
+    read = spark.createDataFrame(
+        [("b1", "AFRICA", "f", 2, "k", dt.datetime(2024, 1, 1), False, []), ("b2", "AFRICA", "f", 2, "k", dt.datetime(2024, 1, 2), True, [])],
+        "batch_id string, tenant_id string, feed string, source_row bigint, record_key string, loaded_at timestamp_ntz, "
+        "accepted boolean, file_violations array<string>",
+    ).withColumn("violations", F.array(F.lit("words")))
+    tenants = spark.createDataFrame([("AFRICA", "Camp")], "tenant_id string, camp_name string")
+    monkeypatch.setattr(queries, "staged", stage)
+    monkeypatch.setattr(queries, "_sales_validated", lambda spark, d: read)
+    monkeypatch.setattr(queries, "_tenants", lambda spark, d: tenants)
+    (row,) = queries.REGISTRY[name](spark, "unused").collect()
+    if name == "quarantine_resolution":
+        assert (row.batch_id, row.resolved_batch_id) == ("b1", "b2")
+    else:
+        assert (row.batches, row.rows_loaded, row.rows_resolved, row.rows_open) == (2, 1, 1, 0)
+    assert [len(done) for done in purposes.values()] == [1, 1]
+    assert not any("violations" in columns for done in purposes.values() for columns in done)
